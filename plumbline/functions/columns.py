@@ -36,7 +36,17 @@ def number(column: Column | str) -> Column:
 
 
 def epoch_to_timestamp(seconds: Column | str) -> Column:
-    return F.timestamp_seconds(seconds)
+    """UTC wall time, independent of the session time zone."""
+    start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    zero = F.lit(0)
+    return start + F.make_dt_interval(zero, zero, zero, _col(seconds))
+
+
+def epoch_seconds(wall_time: Column | str) -> Column:
+    """Whole seconds since 1970 of a UTC wall time."""
+    t = _col(wall_time)
+    days = F.datediff(t, F.lit("1970-01-01")).cast("long")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def month_text(timestamp: Column | str) -> Column:
