@@ -54,6 +54,20 @@ def value_counts_with_total(df: DataFrame, column: str) -> DataFrame:
     return table.withColumn("percentage", share(F.col("count"), total.scalar()))
 
 
+def value_counts_within(df: DataFrame, column: str, by: str) -> DataFrame:
+    """:func:`value_counts_with_total` for each ``by`` group, from one aggregate."""
+    counts = df.groupBy(by, as_text(column).alias("value")).agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    totals = counts.groupBy(by).agg(F.sum("count").alias("count"))
+    shares = with_share_of(counts, [by], out="percentage")
+    return shares.unionByName(
+        totals.select(
+            by, F.lit(TOTAL).alias("value"), "count", F.lit(1.0).alias("percentage")
+        )
+    )
+
+
 def stats_by_value(
     df: DataFrame, column: str, target: str | None = None, drop_unit_target: bool = False
 ) -> DataFrame:

@@ -22,6 +22,7 @@ from plumbline.operators.interactions import label_rows, user_items
 from plumbline.operators.ordering import running_total
 
 ARRAY_LIMIT = 4096
+MAX_LOCAL_ITEMS = 100_000
 
 
 def catalogue(df: DataFrame, item: str = "movie_id") -> DataFrame:
@@ -47,7 +48,7 @@ def negative_samples(
     them, or an error if ``strict``. Item order and sizes of the users' item sets
     are computed when the function is called.
     """
-    items = catalogue(positives, item)
+    items = pin(catalogue(positives, item), MAX_LOCAL_ITEMS)
     n_items = items.count()
     owned = (
         user_items(positives, user, item)

@@ -9,9 +9,10 @@ is cut into blocks of about equal row counts, so one key may span many blocks:
 3. rows are numbered inside (block, group) and the carried weight is added.
 
 Steps 1 and 2 run when the function is called, like the sampling job behind a
-range repartition, and bring back at most one key and one number per block.
+range repartition, and bring back at most one key and two numbers per block.
 Step 3 is lazy: one shuffle of the rows. Bounds are fixed values in its plan, so
-a task recomputed after a lost executor sees the same blocks.
+a task recomputed after a lost executor sees the same blocks. A table counted to
+fit in one block is numbered by a plain window.
 """
 
 from __future__ import annotations
@@ -27,14 +28,17 @@ from plumbline.functions.arrays import count_below
 
 SAMPLES_PER_BLOCK = 32
 BLOCKS_PER_PARTITION = 4
-MAX_BLOCKS = 4096
+MAX_BLOCKS = 8192
+ROWS_PER_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
-class _Blocked:
+class _Blocks:
+    """Rows tagged with their block, and what each block inherits, or one block."""
+
     rows: DataFrame
-    bounds: list
-    order: list[Column]
+    carry_all: list[int] | None = None
+    carry_group: list[int] | None = None
 
 
 def running_total(
@@ -51,8 +55,8 @@ def running_total(
     way. Together with ``by`` it must identify a row, or ties are numbered in
     any order.
     """
-    blocked = _cut(df, order, by, weight, blocks)
-    return _number(blocked, by, out).rows.select(*df.columns, out)
+    cut = _cut(df, order, by, weight, blocks)
+    return _number(cut, order, by, out, grouped=bool(by)).rows.select(*df.columns, out)
 
 
 def row_numbers(
@@ -66,13 +70,13 @@ def row_numbers(
     """1-based number inside each ``by`` group and, optionally, a 0-based number
     over the whole table sorted by (``by``, ``order``). Both come from one shuffle.
     """
-    blocked = _cut(df, order, by, None, blocks)
+    cut = _cut(df, order, by, None, blocks)
     outs = [F.col(within)]
     if overall:
-        blocked = _number(blocked, (), overall)
+        cut = _number(cut, order, by, overall, grouped=False)
         outs.append((F.col(overall) - 1).alias(overall))
-    blocked = _number(blocked, by, within)
-    return blocked.rows.select(*df.columns, *outs)
+    cut = _number(cut, order, by, within, grouped=True)
+    return cut.rows.select(*df.columns, *outs)
 
 
 def _cut(
@@ -81,50 +85,67 @@ def _cut(
     by: Sequence[str],
     weight: Column | None,
     blocks: int | None,
-) -> _Blocked:
+) -> _Blocks:
     spark = df.sparkSession
+    weighted = (F.lit(1) if weight is None else weight).cast("long")
+    n_rows = df.count()
     if blocks is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        blocks = BLOCKS_PER_PARTITION * partitions
-    blocks = max(2, min(blocks, MAX_BLOCKS))
+        wanted = -(-n_rows // ROWS_PER_BLOCK)
+        blocks = min(wanted, BLOCKS_PER_PARTITION * partitions, MAX_BLOCKS)
+    if blocks <= 1:
+        return _Blocks(df.withColumn("__weight", weighted))
+
     group = F.struct(F.lit(0).alias("g"), *[F.col(c) for c in by])
     parts: list[Column] = [group.alias("group")]
     for i, column in enumerate(order):
         parts.append(column.isNull().alias(f"n{i}"))
         parts.append(column.alias(f"o{i}"))
-    keyed = df.select(
-        *df.columns,
-        F.struct(*parts).alias("__key"),
-        (F.lit(1) if weight is None else weight).cast("long").alias("__weight"),
-    )
-    bound_table = _bounds(keyed, blocks)
-    bound_row = spark.createDataFrame(bound_table)
-    searched = keyed.withColumn("__bounds", bound_row.scalar()).withColumn(
-        "__block", count_below(F.col("__bounds"), F.col("__key"), blocks)
-    )
-    block, own_group = F.col("__block"), F.col("__key.group")
+    keyed = df.select("*", F.struct(*parts).alias("__key"), weighted.alias("__weight"))
+    bounds = _bounds(keyed, blocks, n_rows)
+    block, own = F.col("__block"), F.col("__key.group")
+    searched = keyed.withColumn(
+        "__bounds", spark.createDataFrame(bounds).scalar()
+    ).withColumn("__block", count_below(F.col("__bounds"), F.col("__key"), blocks))
+    # Only the block number and two flags travel through the shuffle, not the bounds.
     rows = searched.withColumns(
         {
-            "__open": F.get("__bounds", block - 1)["group"] == own_group,
-            "__over": F.get("__bounds", block)["group"] == own_group,
+            "__open": F.get("__bounds", block - 1)["group"] == own,
+            "__over": F.get("__bounds", block)["group"] == own,
         }
-    ).drop("__bounds")
-    names = [f"__key.{p}{i}" for i in range(len(order)) for p in ("n", "o")]
-    bounds = bound_table.column("bounds")[0].as_py()
-    return _Blocked(rows, bounds, [F.col(n) for n in names])
+    ).drop("__bounds", "__key")
+    tails = {
+        row["__block"]: row
+        for row in rows.groupBy("__block")
+        .agg(
+            F.sum("__weight").alias("all"),
+            F.sum(F.when(F.col("__over"), F.col("__weight"))).alias("group"),
+        )
+        .collect()
+    }
+    groups = [bound["group"] for bound in bounds.column("bounds")[0].as_py()]
+    return _Blocks(
+        rows,
+        _carry([_tail(tails, b, "all") for b in range(len(groups))], None),
+        _carry([_tail(tails, b, "group") for b in range(len(groups))], groups),
+    )
 
 
-def _bounds(keyed: DataFrame, blocks: int) -> pa.Table:
+def _tail(tails: dict, block: int, kind: str) -> int:
+    return (tails[block][kind] or 0) if block in tails else 0
+
+
+def _bounds(keyed: DataFrame, blocks: int, n_rows: int) -> pa.Table:
     """One row: at most ``blocks - 1`` keys, evenly spaced in a sample of bounded size."""
-    wanted = SAMPLES_PER_BLOCK * blocks
-    step = max(1, keyed.count() // wanted)
+    step = max(1, n_rows // (SAMPLES_PER_BLOCK * blocks))
     keys = F.col("keys")
     picked = F.transform(
         F.sequence(F.lit(1), F.lit(blocks - 1)),
         lambda i: F.get(keys, F.floor(i * F.size(keys) / blocks).cast("int")),
     )
     return (
-        keyed.where(F.pmod(F.xxhash64("__key"), F.lit(step)) == 0)
+        keyed.select("__key")
+        .where(F.pmod(F.xxhash64("__key"), F.lit(step)) == 0)
         .agg(F.sort_array(F.collect_set("__key")).alias("keys"))
         .select(
             F.array_distinct(F.filter(picked, lambda k: k.isNotNull())).alias("bounds")
@@ -133,37 +154,37 @@ def _bounds(keyed: DataFrame, blocks: int) -> pa.Table:
     )
 
 
-def _number(blocked: _Blocked, by: Sequence[str], out: str) -> _Blocked:
-    rows, block, grouped = blocked.rows, F.col("__block"), bool(by)
-    runs_over = F.col("__over") if grouped else block < len(blocked.bounds)
-    tails = dict(
-        rows.where(runs_over).groupBy("__block").agg(F.sum("__weight")).collect()
-    )
-    carry = _carry(tails, blocked.bounds, grouped)
-    carry_row = rows.sparkSession.createDataFrame(
-        pa.table({"carry": pa.array([carry], pa.list_(pa.int64()))})
-    )
-    if grouped:
-        window = Window.partitionBy("__block", "__key.group").orderBy(*blocked.order)
-        continues = F.coalesce("__open", F.lit(False))
-    else:
-        window = Window.partitionBy("__block").orderBy("__key.group", *blocked.order)
-        continues = block > 0
+def _carry(tails: list[int], groups: list | None) -> list[int]:
+    """Weight that the group open at the start of each block has before that block."""
+    carry = [0]
+    for block, tail in enumerate(tails):
+        same = block > 0 and (groups is None or groups[block] == groups[block - 1])
+        carry.append(tail + (carry[-1] if same else 0))
+    return carry
+
+
+def _number(
+    cut: _Blocks, order: Sequence[Column], by: Sequence[str], out: str, grouped: bool
+) -> _Blocks:
+    carry = cut.carry_group if grouped else cut.carry_all
+    keys = [F.col(c) for c in by]
+    within = keys if grouped else []
+    sort = ([] if grouped else keys) + [c.asc_nulls_last() for c in order]
+    blocked = [] if carry is None else [F.col("__block")]
+    window = Window.partitionBy(*blocked, *within).orderBy(*sort)
     local = F.sum("__weight").over(
         window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = F.when(continues, F.get(carry_row.scalar(), block)).otherwise(F.lit(0))
-    numbered = rows.withColumn(out, local).withColumn(out, F.col(out) + carried)
-    return _Blocked(numbered, blocked.bounds, blocked.order)
-
-
-def _carry(tails: dict[int, int], bounds: list, grouped: bool) -> list[int]:
-    """Weight that the group open at the start of each block has before that block."""
-    carry = [0]
-    for block in range(1, len(bounds) + 1):
-        before = tails.get(block - 1) or 0
-        same = block >= 2 and (
-            not grouped or bounds[block - 1]["group"] == bounds[block - 2]["group"]
+    rows = cut.rows.withColumn(out, local)
+    if carry is not None:
+        block = F.col("__block")
+        carried = rows.sparkSession.createDataFrame(
+            pa.table({"carry": pa.array([carry], pa.list_(pa.int64()))})
         )
-        carry.append(before + (carry[-1] if same else 0))
-    return carry
+        continues = F.coalesce("__open", F.lit(False)) if grouped else block > 0
+        rows = rows.withColumn(
+            out,
+            F.col(out)
+            + F.when(continues, F.get(carried.scalar(), block)).otherwise(F.lit(0)),
+        )
+    return _Blocks(rows, cut.carry_all, cut.carry_group)

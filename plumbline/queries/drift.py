@@ -103,7 +103,7 @@ _TOP_OF_EACH = f"""{_SETS},
 c AS (SELECT set, event_type, count(*) AS n FROM tagged GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY set ORDER BY n DESC, event_type) AS rn FROM c),
 binned AS (
-  SELECT CASE WHEN rn <= 3 THEN event_type ELSE 'Others' END AS bin, t.set
+  SELECT CASE WHEN rn <= 3 THEN t.event_type ELSE 'Others' END AS bin, t.set
   FROM tagged t JOIN r ON t.set = r.set AND t.event_type = r.event_type)"""
 _TOP_OF_TRAIN = f"""{_SETS},
 top AS (SELECT event_type FROM train GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3),

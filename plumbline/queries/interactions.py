@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.operators import interactions as ops
-from plumbline.operators.counts import group_sizes, value_counts_with_total
+from plumbline.operators.counts import group_sizes, value_counts_within
 from plumbline.operators.counts import label_counts as count_labels
 from plumbline.operators.encoders import FrequencyEncode, StandardScale
 from plumbline.operators.features import decode_ids, dense_ids, encode_ids, join_features
 from plumbline.operators.negatives import negative_samples as sample_negatives
+from plumbline.operators.recommend import candidates
 from plumbline.queries.tables import (
     COLUMNS,
     INTERACTIONS_SQL,
@@ -64,8 +65,6 @@ def user_item_sets(spark, d):
 
 
 def unseen_items(spark, d):
-    from plumbline.operators.recommend import candidates
-
     df = interactions(spark, d)
     pairs = candidates(users(spark, d), df, 10, **COLUMNS)
     return ops.drop_seen(pairs, df, **COLUMNS)
@@ -108,14 +107,8 @@ def split_test(spark, d):
 
 
 def split_label_counts(spark, d):
-    split = _split(spark, d)
-    tables = [
-        value_counts_with_total(ops.split_of(split, name), "label").withColumn(
-            "split", F.lit(name)
-        )
-        for name in ("train", "val", "test")
-    ]
-    return rounded(tables[0].unionByName(tables[1]).unionByName(tables[2]), "percentage")
+    counts = value_counts_within(_split(spark, d), "label", "split")
+    return rounded(counts, "percentage")
 
 
 def join_user_item_features(spark, d):
