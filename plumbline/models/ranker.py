@@ -114,6 +114,12 @@ def refit_on_all(
     return fit_ranker(everything, settings, {**params, "maxIter": iterations})
 
 
+def fit_default(train: DataFrame, val: DataFrame, settings: ModelSettings) -> PipelineModel:
+    """The library's default parameters, on train and validation rows."""
+    default_rounds = GBTClassifier().getMaxIter()
+    return refit_on_all(train, val, settings, {}, default_rounds)
+
+
 def retrain(
     df: DataFrame, settings: ModelSettings, params: Mapping[str, Any] | None = None
 ) -> PipelineModel:
