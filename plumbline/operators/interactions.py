@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import hash_number
+from plumbline.functions.frames import pin
 from plumbline.operators.ordering import row_numbers
 
 
@@ -68,12 +69,20 @@ def assign_split(
     user: str = "user_id",
     recency: str = "interaction_num",
     out: str = "split",
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Leave-latest-out: rows of the latest interaction are ``test`` for sampled users
-    and ``val`` for the others; all earlier rows are ``train``."""
+    and ``val`` for the others; all earlier rows are ``train``.
+
+    The users are drawn when the function is called, from ``sample_from`` if given:
+    a narrower table with the same users.
+    """
     latest = F.col(recency) == 1
-    sampled = sample_users(df.where(latest), n_test_users, seed, user).select(
-        F.col(user).alias("__test_user")
+    source = df.where(latest) if sample_from is None else sample_from
+    sampled = pin(
+        sample_users(source, n_test_users, seed, user).select(
+            F.col(user).alias("__test_user")
+        )
     )
     joined = df.join(sampled, F.col(user) == F.col("__test_user"), "left")
     split = (

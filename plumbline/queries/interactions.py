@@ -91,7 +91,9 @@ def sampled_users(spark, d):
 
 
 def _split(spark, d):
-    return ops.assign_split(labelled(spark, d), TEST_USERS, SEED)
+    return ops.assign_split(
+        labelled(spark, d), TEST_USERS, SEED, sample_from=interactions(spark, d)
+    )
 
 
 def split_train(spark, d):
