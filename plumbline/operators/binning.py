@@ -30,26 +30,23 @@ class Bins:
 
     def assign(self, df: DataFrame, column: str, out: str = "bin_id") -> DataFrame:
         """Add the bin number; NULL for NULL, NaN and values outside the edges."""
-        value = number(column)
-        lowest = F.get("__edges", F.lit(0))
-        below = count_below_few(F.col("__edges"), value, self.max_edges)
-        bin_id = (
-            F.when(value == lowest, F.lit(1))
-            .when((value > lowest) & (below < F.size("__edges")), below)
-            .otherwise(F.lit(None))
+        value, below, edges = F.col("__x"), F.col("__below"), F.col("__edges")
+        bin_id = F.when(value == F.get(edges, F.lit(0)), F.lit(1)).when(
+            (below > 0) & (below < F.size(edges)), below
         )
         return (
-            df.withColumn("__edges", self.edges.scalar())
+            df.withColumns({"__edges": self.edges.scalar(), "__x": number(column)})
+            .withColumn("__below", count_below_few(edges, value, self.max_edges))
             .withColumn(out, bin_id.cast("int"))
-            .drop("__edges")
+            .drop("__edges", "__x", "__below")
         )
 
     def label(self, df: DataFrame, column: str, out: str) -> DataFrame:
         """Add the interval text, e.g. ``(1.0, 18.0]``."""
-        binned = self.assign(df, column, "__bin").withColumn(
+        binned = self.assign(df, column, "__bin_id").withColumn(
             "__edges", self.edges.scalar()
         )
-        position = F.col("__bin")
+        position = F.col("__bin_id")
         text = F.concat(
             F.lit("("),
             F.get("__edges", position - 1).cast("string"),
@@ -57,7 +54,7 @@ class Bins:
             F.get("__edges", position).cast("string"),
             F.lit("]"),
         )
-        return binned.withColumn(out, text).drop("__bin", "__edges")
+        return binned.withColumn(out, text).drop("__bin_id", "__edges")
 
     def table(self) -> DataFrame:
         """``bin_id, lo, hi``, one row per bin."""

@@ -69,14 +69,18 @@ def value_counts_within(df: DataFrame, column: str, by: str) -> DataFrame:
 
 
 def stats_by_value(
-    df: DataFrame, column: str, target: str | None = None, drop_unit_target: bool = False
+    df: DataFrame,
+    column: str,
+    target: str | None = None,
+    out: str = "target",
+    drop_unit_target: bool = False,
 ) -> DataFrame:
     """Per value its count, share of all rows and, given a target, the target mean.
 
-    ``drop_unit_target`` leaves the target column out when every mean is 1; that
+    ``drop_unit_target`` leaves the mean out when it is 1 for every value; that
     check runs a job when the function is called.
     """
-    means = [F.avg(target).alias("target")] if target else []
+    means = [F.avg(target).alias("__mean")] if target else []
     counts = df.groupBy(as_text(column).alias(column)).agg(
         F.count(F.lit(1)).alias("count"), *means
     )
@@ -85,11 +89,11 @@ def stats_by_value(
         column,
         "count",
         share(F.col("count"), total.scalar()).alias("proportion"),
-        *(["target"] if target else []),
+        *([F.col("__mean").alias(out)] if target else []),
     )
     if target and drop_unit_target:
-        if table.where(~F.col("target").eqNullSafe(F.lit(1.0))).isEmpty():
-            return table.drop("target")
+        if table.where(~F.col(out).eqNullSafe(F.lit(1.0))).isEmpty():
+            return table.drop(out)
     return table
 
 

@@ -94,14 +94,17 @@ def numeric_profile(
 def categorical_profile(
     df: DataFrame, column: str, time: str, target: str | None = None, bins: int = 10
 ) -> Tables:
-    """A categorical column overall and over time; the target may be the column itself."""
-    keep = [F.col(time)]
-    if target is not None:
-        keep.append(F.col(target).alias("target"))
+    """A categorical column overall and over time.
+
+    The target may be the column itself; its mean is then called ``target_rate``.
+    """
+    out = "target_rate" if column == "target" else "target"
+    keep = [F.col(time)] + ([] if target is None else [F.col(target).alias("__target")])
     source = df.select(F.col(column).alias("__value"), *keep)
     grouped = group_rare(source, "__value", bins).withColumnRenamed("__value", column)
+    overall = stats_by_value(grouped, column, None if target is None else "__target", out)
     return {
-        "overall": stats_by_value(grouped, column, None if target is None else "target"),
+        "overall": overall,
         "over_time": stats_over_time(grouped, column, time),
     }
 
