@@ -126,7 +126,8 @@ def _draw_by_array(
         _distinct_draws(F.col("__free"), k, seed, qid),
         lambda c: c + count_below(F.col("__gaps"), c + 1, array_limit),
     )
-    return positives.join(gaps, user).select(
+    # A shuffle join: the draws cost time per row, and a hot user's rows get split.
+    return positives.join(gaps.hint("merge"), user).select(
         *positives.columns, F.explode(positions).alias("__position")
     )
 

@@ -24,8 +24,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.arrays import count_below
-
 SAMPLES_PER_BLOCK = 32
 BLOCKS_PER_PARTITION = 4
 MAX_BLOCKS = 8192
@@ -104,9 +102,9 @@ def _cut(
     keyed = df.select("*", F.struct(*parts).alias("__key"), weighted.alias("__weight"))
     bounds = _bounds(keyed, blocks, n_rows)
     block, own = F.col("__block"), F.col("__key.group")
-    searched = keyed.withColumn(
-        "__bounds", spark.createDataFrame(bounds).scalar()
-    ).withColumn("__block", count_below(F.col("__bounds"), F.col("__key"), blocks))
+    searched = _search(
+        keyed.withColumn("__bounds", spark.createDataFrame(bounds).scalar()), blocks
+    )
     # Only the block number and two flags travel through the shuffle, not the bounds.
     rows = searched.withColumns(
         {
@@ -131,6 +129,20 @@ def _cut(
     )
 
 
+def _search(keyed: DataFrame, blocks: int) -> DataFrame:
+    """Add the number of bounds below the key: a binary search, one column per step.
+
+    Separate columns keep it compiled; an array function would be interpreted.
+    """
+    rows, at = keyed.withColumn("__block", F.lit(0)), F.col("__block")
+    step = 1 << (blocks.bit_length() - 1)
+    while step:
+        below = F.get("__bounds", at + (step - 1)) < F.col("__key")
+        rows = rows.withColumn("__block", at + F.when(below, step).otherwise(0))
+        step >>= 1
+    return rows
+
+
 def _tail(tails: dict, block: int, kind: str) -> int:
     return (tails[block][kind] or 0) if block in tails else 0
 

@@ -29,6 +29,7 @@ from plumbline.queries.tables import (
     rounded,
     users,
 )
+from plumbline.sources.state import cut_lineage
 
 TEST_USERS = 100
 
@@ -71,7 +72,8 @@ def unseen_items(spark, d):
 
 
 def negative_samples(spark, d):
-    return sample_negatives(numbered(spark, d), NEGATIVES, SEED, **COLUMNS)
+    positives = cut_lineage(numbered(spark, d))
+    return sample_negatives(positives, NEGATIVES, SEED, **COLUMNS)
 
 
 def pos_neg_union(spark, d):

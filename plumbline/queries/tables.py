@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import epoch_seconds, hash_number
 from plumbline.operators.interactions import number_interactions
 from plumbline.operators.negatives import with_negatives
+from plumbline.sources.state import cut_lineage
 
 KEYS = ["l_orderkey", "l_linenumber", "item_id", "l_suppkey", "l_extendedprice", "l_ship"]
 SEED = 42
@@ -75,7 +76,9 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_negatives(numbered(spark, sf_dir), NEGATIVES, SEED, **COLUMNS)
+    """Positives and negatives, from one stored copy of the numbered interactions."""
+    positives = cut_lineage(numbered(spark, sf_dir))
+    return with_negatives(positives, NEGATIVES, SEED, **COLUMNS)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
