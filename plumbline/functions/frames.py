@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def null_safe_join(
@@ -77,5 +76,6 @@ def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.withColumnsRenamed({c: prefix + c for c in df.columns if c not in keep})
 
 
-def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
+def first_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in key order, so that the choice is repeatable."""
+    return df.orderBy(*keys).limit(n)

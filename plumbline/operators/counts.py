@@ -172,33 +172,19 @@ def group_rare(
     )
 
 
-def category_shares(
-    df: DataFrame,
-    column: str,
-    top_k: int = 10,
-    top_of: DataFrame | None = None,
-) -> DataFrame:
-    """``value, share`` of the ``top_k`` values (NULL competes as ``missing``) and ``Others``.
-
-    ``top_of`` takes the top values from another table.
-    """
+def category_shares(df: DataFrame, column: str, top_k: int = 10) -> DataFrame:
+    """``value, share`` of the ``top_k`` values (NULL competes as ``missing``) and ``Others``."""
     text = F.coalesce(as_text(column), F.lit(MISSING))
-    top = most_frequent(df if top_of is None else top_of, text, top_k)
-    rows = df.select(text.alias("value"), F.lit(1).alias("weight"))
-    grouped = (
-        rows.withColumn("__top", top.scalar())
-        .withColumn(
-            "value",
-            F.when(F.array_contains("__top", F.col("value")), F.col("value")).otherwise(
-                F.lit(OTHERS)
-            ),
-        )
+    top = most_frequent(df, text, top_k)
+    named = F.when(F.array_contains("__top", F.col("value")), F.col("value"))
+    rows = (
+        df.select(text.alias("value"), F.lit(1).alias("weight"))
+        .withColumn("__top", top.scalar())
+        .withColumn("value", F.coalesce(named, F.lit(OTHERS)))
         .drop("__top")
     )
     others = one_row(df, value=F.lit(OTHERS), weight=F.lit(0))
-    counts = (
-        grouped.unionByName(others).groupBy("value").agg(F.sum("weight").alias("count"))
-    )
+    counts = rows.unionByName(others).groupBy("value").agg(F.sum("weight").alias("count"))
     total = counts.agg(F.sum("count"))
     return counts.select("value", share(F.col("count"), total.scalar()).alias("share"))
 

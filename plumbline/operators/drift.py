@@ -2,6 +2,8 @@
 
 The tables are tagged and unioned, then one aggregate per bin or category gives
 the aligned counts of all three; PSI and KL are column arithmetic on that table.
+The aligned table is computed when the function is called unless it has very many
+categories.
 """
 
 from __future__ import annotations
@@ -10,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from plumbline.functions.columns import MISSING, as_text, share
+from plumbline.functions.columns import MISSING, OTHERS, as_text, share
+from plumbline.functions.frames import one_row, pin
 from plumbline.operators.binning import Bins, quantile_bins
-from plumbline.operators.counts import category_shares
+from plumbline.operators.ranking import top_k_within
 
 # Smoothing terms and class limits that define the published numbers.
 PSI_EPSILON = 1e-6
@@ -29,25 +32,21 @@ def aligned_bin_counts(
 ) -> DataFrame:
     """``bin`` and one count per set, over the union of occurring bins, absent = 0."""
     sets = {"train": train, "test": test, "val": val}
-    tagged = None
-    for name, df in sets.items():
-        rows = bins.assign(df, column, "bin").select("bin", F.lit(name).alias("set"))
-        tagged = rows if tagged is None else tagged.unionByName(rows)
-    return _pivot(tagged)
+    return _side_by_side(
+        _union_of(
+            {
+                name: bins.assign(df.select(column), column, "bin").select("bin")
+                for name, df in sets.items()
+            }
+        )
+    )
 
 
 def aligned_category_counts(
     column: str, *, train: DataFrame, test: DataFrame, val: DataFrame
 ) -> DataFrame:
     """The same over every category; NULL is the category ``missing``."""
-    tagged = None
-    for name, df in {"train": train, "test": test, "val": val}.items():
-        rows = df.select(
-            F.coalesce(as_text(column), F.lit(MISSING)).alias("bin"),
-            F.lit(name).alias("set"),
-        )
-        tagged = rows if tagged is None else tagged.unionByName(rows)
-    return _pivot(tagged)
+    return _side_by_side(_categories(column, train, test, val))
 
 
 def aligned_category_shares(
@@ -61,26 +60,50 @@ def aligned_category_shares(
 ) -> DataFrame:
     """Shares of the top categories and ``Others``, over the union of named values.
 
-    Each set has its own top values unless ``reference_top_k`` takes train's.
+    Each set has its own top values unless ``reference_top_k`` takes train's. One
+    pass counts every (set, category); the rest works on those counts.
     """
-    union = None
-    for name, df in {"train": train, "test": test, "val": val}.items():
-        top_of = train if reference_top_k else None
-        shares = category_shares(df, column, top_k, top_of).select(
-            F.col("value").alias("bin"), "share", F.lit(name).alias("set")
-        )
-        union = shares if union is None else union.unionByName(shares)
-    return union.groupBy("bin").agg(
+    counts = (
+        _categories(column, train, test, val)
+        .groupBy("set", "bin")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    top = top_k_within(counts, ["set"], [F.desc("count"), F.col("bin")], top_k)
+    if reference_top_k:
+        top, keys = top.where(F.col("set") == "train"), ["bin"]
+    else:
+        keys = ["set", "bin"]
+    named = top.select(*keys, F.lit(True).alias("named"))
+    grouped = counts.join(named, keys, "left").select(
+        F.when(F.col("named"), F.col("bin")).otherwise(F.lit(OTHERS)).alias("bin"),
         *[
-            F.sum(F.when(F.col("set") == s, F.col("share")).otherwise(0.0)).alias(s)
+            F.when(F.col("set") == s, F.col("count")).otherwise(F.lit(0)).alias(s)
             for s in SETS
-        ]
+        ],
     )
+    others = one_row(train, bin=F.lit(OTHERS), **{s: F.lit(0) for s in SETS})
+    summed = grouped.unionByName(others).groupBy("bin")
+    return normalised(pin(summed.agg(*[F.sum(s).alias(s) for s in SETS])))
 
 
-def _pivot(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy("bin").agg(
-        *[F.count_if(F.col("set") == s).alias(s) for s in SETS]
+def _categories(
+    column: str, train: DataFrame, test: DataFrame, val: DataFrame
+) -> DataFrame:
+    text = F.coalesce(as_text(column), F.lit(MISSING)).alias("bin")
+    sets = {"train": train, "test": test, "val": val}
+    return _union_of({name: df.select(text) for name, df in sets.items()})
+
+
+def _union_of(sets: dict[str, DataFrame]) -> DataFrame:
+    tagged = [df.withColumn("set", F.lit(name)) for name, df in sets.items()]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
+def _side_by_side(tagged: DataFrame) -> DataFrame:
+    return pin(
+        tagged.groupBy("bin").agg(
+            *[F.count_if(F.col("set") == s).alias(s) for s in SETS]
+        )
     )
 
 

@@ -87,7 +87,7 @@ def quantiles(
     )
     hot_values = (
         attach(celled, located.select(*by, "__hot"), by, ["__hot"])
-        .withColumn("__start", F.get("__hot", F.col("__cell")))
+        .withColumn("__start", _computed_once(F.get("__hot", F.col("__cell"))))
         .drop("__hot")
         .where(F.col("__start").isNotNull())
         .groupBy(*by, "__cell", "__start", "__x")
@@ -187,6 +187,11 @@ def _hot_starts(limit: int) -> Column:
     )
 
 
+def _computed_once(value: Column) -> Column:
+    """Keep the optimizer from copying a long expression into the filter above it."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def _interpolated(rank: Column) -> Column:
     def value_at(position: Column) -> Column:
         return F.get(

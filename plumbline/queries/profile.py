@@ -11,7 +11,9 @@ from plumbline.functions.columns import (
     month_text,
     percent_label,
 )
+from plumbline.functions.frames import first_rows
 from plumbline.operators import binning, counts, summaries
+from plumbline.plans import profiles
 from plumbline.queries.tables import SALES_SQL, finite, r6, rounded, sales, table
 
 DIGITS = 9
@@ -235,6 +237,36 @@ def epoch_to_month(spark, d):
     )
 
 
+def head_rows(spark, d):
+    orders = table(spark, d, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
+    return first_rows(orders, ["o_orderdate", "o_orderkey"], 10)
+
+
+def bin_edges(spark, d):
+    edges = binning.quantile_bins(table(spark, d, "events"), "value", digits=DIGITS).table()
+    return edges.select("bin_id", r6(finite("lo")).alias("lo"), r6(finite("hi")).alias("hi"))
+
+
+def profile_numeric_overall(spark, d):
+    tables = profiles.numeric_profile(sales(spark, d), "l_quantity", "month", "target")
+    return rounded(tables["overall"], "proportion", "target")
+
+
+def profile_numeric_time(spark, d):
+    tables = profiles.numeric_profile(sales(spark, d), "l_quantity", "month")
+    return rounded(tables["over_time"], "proportion")
+
+
+def profile_categorical_overall(spark, d):
+    tables = profiles.categorical_profile(_flag_with_nulls(spark, d), "flag", "month", "target")
+    return rounded(tables["overall"], "proportion", "target")
+
+
+def profile_categorical_time(spark, d):
+    tables = profiles.categorical_profile(_flag_with_nulls(spark, d), "flag", "month")
+    return rounded(tables["over_time"], "proportion")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -274,6 +306,12 @@ QUERIES = {
         regex_capture,
         month_bucket,
         epoch_to_month,
+        head_rows,
+        bin_edges,
+        profile_numeric_overall,
+        profile_numeric_time,
+        profile_categorical_overall,
+        profile_categorical_time,
     )
 }
 
@@ -420,7 +458,37 @@ _PRICED = f"""{_SALES},
 priced AS (SELECT *, CASE WHEN l_quantity >= 5 THEN l_extendedprice END AS price FROM sales)"""
 _FLAGGED = f"{_SALES}, flagged AS (SELECT *, nullif(l_returnflag, 'A') AS flag FROM sales)"
 
+_LABELLED_BINS = f"""{_SALES},
+edges AS ({quantile_edges_sql("sales", "l_quantity")}),
+numbered AS (SELECT {BIN_SQL.format(x="l_quantity")} AS bin_id, sales.*, e FROM sales, edges),
+binned AS (
+  SELECT '(' || CASE WHEN isfinite(e[bin_id]) THEN e[bin_id]::VARCHAR ELSE '-Infinity' END
+    || ', ' || CASE WHEN isfinite(e[bin_id + 1]) THEN e[bin_id + 1]::VARCHAR ELSE 'Infinity' END
+    || ']' AS l_quantity, month, target
+  FROM numbered)"""
+_RENAMED_FLAGS = f"""{_FLAGGED},
+named AS (SELECT coalesce(flag, 'missing') AS flag, month, target FROM flagged)"""
+
 SQL = {
+    "head_rows": """
+SELECT o_orderdate, o_orderkey, o_totalprice FROM orders ORDER BY 1, 2 LIMIT 10""",
+    "bin_edges": f"""
+WITH edges AS ({quantile_edges_sql("events", "value")})
+SELECT i::INT AS bin_id, CASE WHEN isfinite(e[i]) THEN round(e[i], 6) END AS lo,
+  CASE WHEN isfinite(e[i + 1]) THEN round(e[i + 1], 6) END AS hi
+FROM (SELECT e, unnest(range(1, len(e))) AS i FROM edges)""",
+    "profile_numeric_overall": f"""{_LABELLED_BINS}
+SELECT l_quantity, count(*) AS count,
+  round(count(*) / (SELECT count(*) FROM sales), 6) AS proportion,
+  round(avg(target), 6) AS target
+FROM binned GROUP BY l_quantity""",
+    "profile_numeric_time": _shares_over("binned", "month", "l_quantity", _LABELLED_BINS),
+    "profile_categorical_overall": f"""{_RENAMED_FLAGS}
+SELECT flag, count(*) AS count,
+  round(count(*) / (SELECT count(*) FROM sales), 6) AS proportion,
+  round(avg(target), 6) AS target
+FROM named GROUP BY flag""",
+    "profile_categorical_time": _shares_over("named", "month", "flag", _RENAMED_FLAGS),
     "value_counts_event_type": _counts_sql("SELECT event_type FROM events"),
     "value_counts_with_nulls": _counts_sql(
         "SELECT nullif(event_type, 'error') AS event_type FROM events"
