@@ -6,31 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Up to this size one comparison per item, compiled, beats an interpreted search.
+COMPILED_SIZE = 64
+
+
 def count_below(ordered: Column, value: Column, max_size: int) -> Column:
-    """How many items of an ascending array are smaller than ``value``.
-
-    Binary search: one comparison per doubling of ``max_size``.
-    """
-    steps, step = [], 1
-    while step <= max_size:
-        steps.append(step)
-        step *= 2
+    """How many items of an ascending array of at most ``max_size`` are below ``value``."""
+    if max_size <= COMPILED_SIZE:
+        terms = [
+            F.when(F.get(ordered, F.lit(i)) < value, F.lit(1)).otherwise(F.lit(0))
+            for i in range(max(1, max_size))
+        ]
+        return sum(terms[1:], terms[0])
+    steps = [1 << bit for bit in reversed(range(max_size.bit_length()))]
     return F.aggregate(
-        F.array(*[F.lit(s) for s in reversed(steps)]),
+        F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, s: F.when(F.get(ordered, at + s - 1) < value, at + s).otherwise(at),
     )
 
 
-def count_below_few(ordered: Column, value: Column, max_size: int) -> Column:
-    """Same as :func:`count_below` for a short array: compiled, no lambda."""
-    terms = [
-        F.when(F.get(ordered, F.lit(i)) < value, F.lit(1)).otherwise(F.lit(0))
-        for i in range(max_size)
-    ]
-    return sum(terms[1:], terms[0])
-
-
 def running_before(amounts: Column) -> Column:
     """For each position of an array, the sum of the items before it."""
     return F.transform(

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.arrays import count_below_few
+from plumbline.functions.arrays import count_below
 from plumbline.functions.columns import number, share
 from plumbline.functions.frames import pin
 from plumbline.operators.quantiles import quantiles
@@ -36,7 +36,7 @@ class Bins:
         )
         return (
             df.withColumns({"__edges": self.edges.scalar(), "__x": number(column)})
-            .withColumn("__below", count_below_few(edges, value, self.max_edges))
+            .withColumn("__below", count_below(edges, value, self.max_edges))
             .withColumn(out, bin_id.cast("int"))
             .drop("__edges", "__x", "__below")
         )

@@ -18,11 +18,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.arrays import count_below_few, running_before
+from plumbline.functions.arrays import count_below, running_before
 from plumbline.functions.columns import number
 from plumbline.functions.frames import attach, pin
 
-SKETCH_ACCURACY = 20_000
+SKETCH_ACCURACY = 50_000
 
 
 def quantiles(
@@ -37,7 +37,7 @@ def quantiles(
     """``by`` columns, the ``extra`` aggregates and an array with one quantile per prob.
 
     ``method="approx"`` stops after the sketch: one pass, rank error below
-    1 / 20,000. Without ``by`` the result is one row, also for an empty input.
+    1 / 50,000. Without ``by`` the result is one row, also for an empty input.
 
     For the exact method the first two passes run when the function is called.
     """
@@ -69,7 +69,7 @@ def quantiles(
     rows = df.select(*by, value).where(F.col("__x").isNotNull())
     celled = (
         attach(rows, summary, by, ["__cuts"])
-        .withColumn("__cell", count_below_few(F.col("__cuts"), F.col("__x"), limit))
+        .withColumn("__cell", count_below(F.col("__cuts"), F.col("__x"), limit))
         .drop("__cuts")
     )
     cells = (

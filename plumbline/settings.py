@@ -7,6 +7,9 @@ from dataclasses import asdict, dataclass, fields, replace
 from typing import Any
 
 
+# Column lists, counts and seeds the jobs are known by.
+
+
 @dataclass(frozen=True)
 class ProcessingSettings:
     num_negative_samples: int = 5

@@ -31,6 +31,9 @@ def delimited(path: str, schema: str, encoding: str = "UTF-8") -> DatasetSpec:
     return DatasetSpec(path, "csv", schema, {"sep": SEPARATOR, "encoding": encoding})
 
 
+# Fixed values below: folder and file names of the stored tables.
+
+
 def training_datasets(root: str) -> dict[str, DatasetSpec]:
     return {**_raw(root), **_processed(root), **_splits(root)}
 

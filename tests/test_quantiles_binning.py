@@ -44,6 +44,37 @@ def test_quantiles_on_many_rows_and_groups(spark):
         assert got[key] == pytest.approx(expected.tolist(), rel=1e-12)
 
 
+def test_quantiles_of_too_many_groups_to_pin(spark, monkeypatch):
+    """Without pinned tables the passes are joins; the numbers stay the same."""
+    from plumbline.operators import quantiles as module
+
+    df = spark.range(3000).selectExpr("id % 40 AS g", "CAST(id * id % 977 AS DOUBLE) AS x")
+    pinned = rows(quantiles(df, "x", [0.1, 0.5, 1.0], ["g"]))
+    monkeypatch.setattr(module, "pin", lambda frame: frame)
+    assert rows(quantiles(df, "x", [0.1, 0.5, 1.0], ["g"])) == pinned
+    assert rows(quantiles(df, "x", [0.5])) == [([float(np.median(_squares()))],)]
+
+
+def _squares():
+    return [i * i % 977 for i in range(3000)]
+
+
+def test_many_edges_use_the_search(spark):
+    df = spark.range(500).selectExpr("CAST(id AS DOUBLE) / 2 AS x")
+    fine = binning.user_bins(spark, range(0, 201))
+    coarse = [r["bin_id"] for r in fine.assign(df, "x").orderBy("x").collect()]
+    expected = pd.cut(np.arange(500) / 2, list(range(201)), include_lowest=True).codes + 1
+    assert [b or 0 for b in coarse] == expected.tolist()
+
+
+def test_pin_leaves_large_tables_alone(spark):
+    from plumbline.functions.frames import pin
+
+    small, large = spark.range(3), spark.range(4)
+    assert "LocalTableScan" in pin(small, 3)._jdf.queryExecution().toString()
+    assert pin(large, 3) is large
+
+
 def test_quantiles_ignore_null_and_nan(spark):
     assert quantiles(frame(spark, [1.0, None, float("nan"), 3.0]), "x", [0.5]).first()[0] == [2.0]
     assert quantiles(frame(spark, []), "x", [0.5]).first()[0] == [None]
