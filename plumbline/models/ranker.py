@@ -19,10 +19,16 @@ from plumbline.settings import ModelSettings
 VECTOR = "__features"
 
 
-def feature_matrix(df: DataFrame, features: Sequence[str], label: str, qid: str) -> DataFrame:
-    """``__features``, label and query id; NULL features become NaN in the vector."""
+def feature_matrix(
+    df: DataFrame, features: Sequence[str], label: str, qid: str, ordered: bool = False
+) -> DataFrame:
+    """``__features``, label and query id; NULL features become NaN in the vector.
+
+    ``ordered`` sorts by query id, for learners that want a query's rows together.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="keep")
-    return assembler.transform(df).select(VECTOR, label, qid)
+    matrix = assembler.transform(df).select(VECTOR, label, qid)
+    return matrix.orderBy(qid) if ordered else matrix
 
 
 def fit_ranker(

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
 from plumbline.models import importance
-from plumbline.models.ranker import best_iteration, feature_matrix, load_model
+from plumbline.models.ranker import (
+    best_iteration,
+    feature_matrix,
+    load_model,
+    predict,
+    retrain,
+)
 from plumbline.models.search import evaluate_trial
 from plumbline.plans import data_jobs, model_jobs, profiles
 from plumbline.settings import ModelSettings, ProcessingSettings, merged, to_json
@@ -160,8 +166,20 @@ def test_trials_and_importance(spark, finished, roots):
         importance.top_features(table, settings.categorical_features, 4)
     )
     assert sorted(names) == sorted(settings.features)
-    matrix = feature_matrix(val, settings.features, "label", "qid")
-    assert matrix.count() == val.count()
+    matrix = feature_matrix(val, settings.features, "label", "qid", ordered=True)
+    qids = [r["qid"] for r in matrix.select("qid").collect()]
+    assert len(qids) == val.count() and qids == sorted(qids)
+
+
+def test_retrain_and_command_line(spark, finished, roots):
+    data, settings = finished["inference"], finished["model"]
+    labelled = datasets.read(spark, finished["training"]["test"])
+    model = retrain(labelled, settings, {"maxIter": 1, "maxDepth": 2})
+    assert set(predict(model, labelled).columns) == {*labelled.columns, "pred"}
+    before = rows(datasets.read(spark, data["model_output"]))
+    paths = ["--training-root", roots["training"], "--inference-root", roots["inference"]]
+    model_jobs.main(["recommend", *paths, "--artefacts", roots["artefacts"]])
+    assert rows(datasets.read(spark, data["model_output"])) == before
 
 
 def test_rank_first_or_filter_first(spark):
