@@ -93,19 +93,19 @@ def _segmenter(path: str, entries: int) -> _Segmenter:
 def encode(
     docs: DataFrame,
     path: str,
-    id: str = "doc_id",
     text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
     digest: bool = False,
     entries: int = TABLE_ENTRIES,
 ) -> DataFrame:
-    """``id`` and the ids of every whole text with begin and end, as the library gives them.
+    """Columns ``keep`` and the ids of every whole text with begin and end, as the library
+    gives them.
 
     Columns ``ids`` (array of int) and ``decoded``, the text the library decodes them
     to; with ``digest``, in their place ``n_tokens``, ``ids_sha256`` over the ids as
     little-endian unsigned 32-bit integers and ``decoded_sha256``. NULL is the empty
-    text: begin and end only. Rows come out as they go in, repeated ones too; other
-    columns are left out. A model whose pieces cross markers, or that normalises
-    text, encodes whole texts.
+    text: begin and end only. One row per row that goes in. A model whose pieces cross
+    markers, or that normalises text, encodes whole texts.
     """
     fields = [
         ("n_tokens", pa.int64(), "LONG"),
@@ -118,8 +118,9 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _segmenter(path, entries)
         for batch in batches:
-            made: list[tuple] = []
-            for group in groups_of(batch.column(1).to_pylist()):
+            at = 0
+            for group in groups_of(batch.column(batch.num_columns - 1).to_pylist()):
+                made: list[tuple] = []
                 for ids in model.encode(group):
                     ids = model.begin + ids + model.end
                     decoded = model.decode(ids)
@@ -133,18 +134,20 @@ def encode(
                         )
                     else:
                         made.append((np.frombuffer(ids, "<i4"), decoded))
-            columns = zip(*made, strict=True) if made else [[] for _ in fields]
-            arrays = [
-                pa.array(list(c), f[1]) for c, f in zip(columns, fields, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *arrays], names=["id", *[f[0] for f in fields]]
-            )
-
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("t"))
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = ", ".join([f"id {kind}", *[f"{n} {sql}" for n, _, sql in fields]])
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+                some = batch.slice(at, len(group))
+                at += len(group)
+                arrays = [
+                    pa.array(list(c), f[1])
+                    for c, f in zip(zip(*made, strict=True), fields, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns[:-1], *arrays],
+                    names=[*some.schema.names[:-1], *[f[0] for f in fields]],
+                )
+
+    rows = docs.select(*keep, F.coalesce(text, F.lit("")).alias("__text"))
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
+    return rows.mapInArrow(run, ", ".join([*kinds, *[f"{n} {sql}" for n, _, sql in fields]]))
 
 
 def decode(

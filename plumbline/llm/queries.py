@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import digest, hyperlang, pieces, quality, token_counts
+from plumbline.llm import (
+    automaton,
+    chosen_path,
+    decontamination,
+    digest,
+    hyperlang,
+    paragraphs,
+    pieces,
+    pii,
+    quality,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +41,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.contaminated(docs, benchmark)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = quality.train(docs, labels.where(fold("doc_id", 4) != 2))
@@ -50,6 +66,35 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pii.spans(F.col("text"), pii.train(docs)).alias("found"))
+    base = F.filter("found", lambda s: s["base"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.BASE],
+        F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("found")).alias("spans"),
+    )
+
+
+def op7_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return automaton.scores(docs, fold("doc_id", 7) != 2).select(
+        "doc_id",
+        (fold("doc_id", 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     languages, prototypes = hyperlang.train(docs.where(fold("doc_id", 4) != 2))
@@ -58,13 +103,26 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_digest": op4_digest,
     "op5_pieces": op5_pieces,
+    "op6_pii": op6_pii,
+    "op7_automaton": op7_automaton,
     "op8_language": op8_language,
+    "op9_paragraphs": op9_paragraphs,
+    "op10_chosen_path": op10_chosen_path,
 }
 
-#: Tokenizers, models and digests have no SQL; tests/llm holds them against brute force.
+#: Tokenizers, models, digests and MinHash have no SQL; tests/llm holds them against brute force.
 SQL: dict[str, str] = {}
