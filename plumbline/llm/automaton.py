@@ -6,7 +6,7 @@ failure arc, weighted with what the arcs leave over, to the root, whose arcs are
 smoothed single words. A text is read once from left to right: the state is carried
 along, an arc or the failure arc is taken, and log-probabilities add up.
 
-The corpus' n-grams are never in one place. N-grams are 64-bit keys, cut into
+The corpus' n-grams are never in one place. N-grams are 56-bit keys, cut into
 buckets by value. Tasks count the keys of their training texts and send, per bucket,
 one packed array of sorted keys and counts; blocks of texts send the distinct keys
 they need in the same way, and each bucket answers every block with counts. From the
@@ -57,12 +57,12 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 
 def word_key(h: np.ndarray) -> np.ndarray:
-    """Keys of single words are odd, those of pairs even."""
-    return mix(h) | _ONE
+    """Keys have 56 bits; those of single words are odd, those of pairs even."""
+    return mix(h) >> np.uint64(8) | _ONE
 
 
 def pair_key(before: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(3) + h + _ONE) & ~_ONE
+    return mix(before * np.uint64(3) + h + _ONE) >> np.uint64(8) & ~_ONE
 
 
 class Stream:
@@ -89,7 +89,7 @@ class Stream:
 
 def _cut(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The non-empty buckets of sorted keys and where each begins, and the end."""
-    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    bucket = (keys >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)
     opens = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     if len(keys) == 0:
         opens = np.empty(0, np.int64)
