@@ -62,10 +62,9 @@ def _trigrams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
     at = np.searchsorted(owner, np.arange(n))
     letters = np.concatenate((np.insert(letters, at, 0), [0]))
     owner = np.concatenate((np.insert(owner, at, np.arange(n)), [n]))
+    # Of gaps next to each other the last stays: it belongs to the text that goes on.
     keep = np.ones(len(letters), bool)
-    keep[1:] = (letters[1:] != 0) | (letters[:-1] != 0)
-    keep[:-1] &= ~((letters[:-1] == 0) & (letters[1:] == 0) & (owner[:-1] != owner[1:]))
-    keep[-1] = True
+    keep[:-1] = (letters[:-1] != 0) | (letters[1:] != 0)
     letters, owner = letters[keep], owner[keep]
     used = np.unique(letters)
     code = np.searchsorted(used, letters)
@@ -74,8 +73,9 @@ def _trigrams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
     size = len(used)
     middle = owner[1:-1]
     triple = (code[:-2] * size + code[1:-1]) * size + code[2:]
-    real = code[1:-1] + code[2:] > 0
-    triple, middle = triple[real], middle[real]
+    # A trigram lies in its middle letter's text, or ends with the gap after that text.
+    inside = (owner[:-2] == middle) & ((owner[2:] == middle) | (letters[2:] == 0))
+    triple, middle = triple[inside], middle[inside]
     found, index = np.unique(triple, return_inverse=True)
     counts = np.bincount(middle * len(found) + index, minlength=n * len(found))
     counts = counts.reshape(n, len(found)).astype(np.float32)

@@ -16,7 +16,8 @@ SCHEMA = "doc_id LONG, text STRING, item_id LONG, hash INT, found STRING"
 
 ITEM = "A train leaves Boston at noon with 120 passengers and Alice asks how many km it runs in 3 hours today."
 PARAM = "A train leaves Denver at noon with 85 passengers and Bob asks how many km it runs in 7 hours today."
-MIXED = "A train leaves Oslo at noon with 85 passengers and Oslo asks how many km it runs in 85 hours today."
+TWICE = "he pays 40 euros to Anna and then 40 euros to Bob while Anna keeps the box shut"
+MIXED = "he pays 7 euros to Kim and then 9 euros to Tom while Lee keeps the box shut"
 
 
 def brute_tokens(text):
@@ -70,7 +71,7 @@ def test_decontamination(spark):
     docs += [(6, ""), (7, "x " * 60_000), (1, f"Well.\n{ITEM}\nEnd"), (None, ITEM), (8, None)]
     df = spark.createDataFrame([(*d, 1, 2, "x") for d in docs], SCHEMA)
     bench = spark.createDataFrame(
-        [(9, ITEM, 1), (9, ITEM, 1), (10, None, 1), (11, "", 1), (12, "too short", 1)],
+        [(9, ITEM, 1), (9, ITEM, 1), (13, TWICE, 1), (10, None, 1), (11, "", 1), (12, "too short", 1)],
         "item_id LONG, text STRING, doc_id INT",
     )
     got = decontamination.contaminated(df, bench)
