@@ -170,7 +170,8 @@ def candidate_links(sets: DataFrame, similarity: float, recall: float) -> DataFr
 
 def _values(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """The whole set behind each wanted key: ``docs`` has id and t, ``wanted`` id and key."""
-    rows = docs.join(wanted, "id").select("key", "t", "size", "weight", "group")
+    # The texts are shuffled at every size, so that costs follow the input.
+    rows = docs.join(wanted.hint("merge"), "id").select("key", "t", "size", "weight", "group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
