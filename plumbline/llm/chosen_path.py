@@ -43,7 +43,7 @@ FOLLOWED = 2.0
 LEAF = 64
 LEVELS = 3
 RECALL = 0.999
-NODE_BLOCK = 512
+NODE_BLOCK = 2048
 
 
 def runs_for(recall: float, similarity: float, levels: int) -> int:
