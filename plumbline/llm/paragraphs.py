@@ -108,7 +108,8 @@ def _values(docs: DataFrame, wanted: DataFrame, min_words: int, shingle: int) ->
     lists = wanted.groupBy("id").agg(
         F.collect_list(F.struct("key", "group", "size")).alias("wanted")
     )
-    rows = docs.join(lists, "id").select("t", "wanted")
+    # The texts are shuffled at every size, so that costs follow the input.
+    rows = docs.join(lists.hint("merge"), "id").select("t", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
