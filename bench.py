@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from plumbline import build_session
@@ -39,8 +40,10 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
+    shared = tempfile.TemporaryDirectory(prefix="plumbline-bench-")
     spark = build_session(
         "plumbline-bench",
+        spark__checkpoint__dir=shared.name,
         master=f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
@@ -69,6 +72,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    shared.cleanup()
 
 
 if __name__ == "__main__":

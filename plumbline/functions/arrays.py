@@ -6,31 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Up to this size one comparison per item, compiled, beats an interpreted search.
-COMPILED_SIZE = 64
-
 
 def count_below(ordered: Column, value: Column, max_size: int) -> Column:
-    """How many items of an ascending array of at most ``max_size`` are below ``value``."""
-    if max_size <= COMPILED_SIZE:
-        terms = [
-            F.when(F.get(ordered, F.lit(i)) < value, F.lit(1)).otherwise(F.lit(0))
-            for i in range(max(1, max_size))
-        ]
-        return sum(terms[1:], terms[0])
-    steps = [1 << bit for bit in reversed(range(max_size.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, s: F.when(F.get(ordered, at + s - 1) < value, at + s).otherwise(at),
-    )
-
-
-def running_before(amounts: Column) -> Column:
-    """For each position of an array, the sum of the items before it."""
-    return F.transform(
-        amounts,
-        lambda _, i: F.aggregate(
-            F.slice(amounts, F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x
-        ),
-    )
+    """How many items of an ascending array of at most ``max_size`` are below ``value``.
+
+    One compiled comparison per item. A longer array is an error, not a wrong count.
+    """
+    terms = [
+        F.when(F.get(ordered, F.lit(i)) < value, F.lit(1)).otherwise(F.lit(0))
+        for i in range(max(1, max_size))
+    ]
+    too_long = F.raise_error(F.lit(f"array has more than {max_size} items")).cast("int")
+    return F.when(F.size(ordered) > max_size, too_long).otherwise(sum(terms[1:], terms[0]))

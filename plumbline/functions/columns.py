@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 OTHERS = "Others"
 MISSING = "missing"
@@ -35,6 +36,24 @@ def number(column: Column | str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column; NaN in a floating-point one is read as NULL."""
+    kind = df.schema[name].dataType
+    value = F.col(name)
+    return F.when(~F.isnan(value), value) if isinstance(kind, (DoubleType, FloatType)) else value
+
+
+def present_text(df: DataFrame, name: str) -> Column:
+    return present(df, name).cast("string")
+
+
+def unreserved(text: Column | str, *names: str) -> Column:
+    """The text, in double quotes if it reads like a reserved row name."""
+    value = _col(text)
+    quoted = F.concat(F.lit('"'), value, F.lit('"'))
+    return F.when(value.isin(*(names or (MISSING, TOTAL))), quoted).otherwise(value)
+
+
 def epoch_to_timestamp(seconds: Column | str) -> Column:
     """UTC wall time, independent of the session time zone."""
     start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))

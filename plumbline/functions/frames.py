@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
+from plumbline.sources.state import cut_lineage
+
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left"
@@ -38,19 +40,17 @@ def attach(
     return df.withColumns({c: small.select(c).scalar() for c in columns})
 
 
-PINNED_ROWS = 10_000
+def pin_row(df: DataFrame) -> DataFrame:
+    """Compute an aggregate that has one row by design, and carry it as a local table."""
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
-def pin(df: DataFrame, max_rows: int = PINNED_ROWS) -> DataFrame:
-    """Compute a small aggregate now and carry it in later plans as a local table.
+def pin(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Compute an aggregate now, so that plans that build on it stay short.
 
-    Keeps the plans that build on it short. An aggregate with more than
-    ``max_rows`` rows is returned unchanged, so the driver never holds more.
+    With groups it is stored, whatever its size; without, it is one row.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
+    return cut_lineage(df) if by else pin_row(df)
 
 
 def one_row(df: DataFrame, **columns: Column) -> DataFrame:

@@ -17,6 +17,7 @@ from plumbline.operators.recommend import top_recommendations
 from plumbline.settings import ModelSettings
 
 VECTOR = "__features"
+VALIDATION = "__validation"
 
 
 def feature_matrix(
@@ -32,16 +33,26 @@ def feature_matrix(
 
 
 def fit_ranker(
-    train: DataFrame, settings: ModelSettings, params: Mapping[str, Any] | None = None
+    train: DataFrame,
+    settings: ModelSettings,
+    params: Mapping[str, Any] | None = None,
+    val: DataFrame | None = None,
 ) -> PipelineModel:
     """Fit with the given MLlib parameters on top of the defaults.
 
-    Each boosting round is a distributed job; ``train`` should be a stored table.
+    With ``val`` the rounds end when its loss stops falling, and the model has the
+    trees up to the best round. Each boosting round is a distributed job; both tables
+    should be stored ones.
     """
     assembler = VectorAssembler(
         inputCols=settings.features, outputCol=VECTOR, handleInvalid="keep"
     )
     values = {"maxIter": settings.iterations, "seed": settings.random_state, **(params or {})}
+    if val is not None:
+        values = {"validationTol": 0.0, **values, "validationIndicatorCol": VALIDATION}
+        train = train.withColumn(VALIDATION, F.lit(False)).unionByName(
+            val.withColumn(VALIDATION, F.lit(True))
+        )
     trees = GBTClassifier(featuresCol=VECTOR, labelCol=settings.label, **values)
     return Pipeline(stages=[assembler, trees]).fit(train)
 

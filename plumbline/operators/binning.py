@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.arrays import count_below
 from plumbline.functions.columns import number, share
-from plumbline.functions.frames import pin
+from plumbline.functions.frames import pin_row
 from plumbline.operators.quantiles import quantiles
 
 INFINITY = float("inf")
@@ -171,7 +171,7 @@ def histogram(
 
 
 def _bins(edges: DataFrame, max_edges: int) -> Bins:
-    return Bins(pin(edges), max_edges)
+    return Bins(pin_row(edges), max_edges)
 
 
 def _evenly(lo: Column, hi: Column, steps: int) -> Column:

@@ -12,17 +12,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import MISSING, OTHERS, TOTAL, as_text, share
+from plumbline.functions.columns import (
+    MISSING,
+    OTHERS,
+    TOTAL,
+    as_text,
+    present_text,
+    share,
+    unreserved,
+)
 from plumbline.functions.frames import null_safe_join, one_row
 
 
 def value_counts(df: DataFrame, column: str, sort_by: str | None = None) -> DataFrame:
     """``var, value, count, proportion`` with one ``missing`` and one ``total`` row.
 
-    The ``missing`` row is always there and holds the number of NULLs.
-    ``sort_by`` names an output column to sort by, descending for numbers.
+    The ``missing`` row is always there and holds the number of NULLs and NaNs. A text
+    in the data that reads ``missing`` or ``total`` is shown in quotes, so each of the
+    two names occurs once. ``sort_by`` names an output column to sort by, descending
+    for numbers.
     """
-    rows = df.select(as_text(column).alias("value"), F.lit(1).alias("weight"))
+    rows = df.select(present_text(df, column).alias("value"), F.lit(1).alias("weight"))
     # A zero-weight NULL row makes sure that the missing group exists.
     empty = one_row(df, value=F.lit(None).cast("string"), weight=F.lit(0))
     counts = (
@@ -31,7 +41,7 @@ def value_counts(df: DataFrame, column: str, sort_by: str | None = None) -> Data
         .agg(F.sum("weight").alias("count"))
     )
     total = counts.agg(F.sum("count").alias("count"))
-    named = counts.withColumn("value", F.coalesce("value", F.lit(MISSING)))
+    named = counts.withColumn("value", F.coalesce(unreserved("value"), F.lit(MISSING)))
     table = named.unionByName(total.select(F.lit(TOTAL).alias("value"), "count"))
     result = table.select(
         F.lit(column).alias("var"),
@@ -157,12 +167,13 @@ def most_frequent(df: DataFrame, value: Column, k: int) -> DataFrame:
 def group_rare(
     df: DataFrame, column: str, bins: int = 10, out: str | None = None
 ) -> DataFrame:
-    """Keep the ``bins`` most frequent values, call the rest ``Others``, NULL ``missing``."""
-    top = most_frequent(df, as_text(column), bins)
-    text = as_text(column)
+    """Keep the ``bins`` most frequent values, call the rest ``Others``, NULL and NaN
+    ``missing``. Texts in the data that read like these two names are put in quotes."""
+    top = most_frequent(df, present_text(df, column), bins)
+    text = present_text(df, column)
     grouped = (
         F.when(text.isNull(), F.lit(MISSING))
-        .when(F.array_contains("__top", text), text)
+        .when(F.array_contains("__top", text), unreserved(text, MISSING, OTHERS))
         .otherwise(F.lit(OTHERS))
     )
     return (
@@ -174,7 +185,8 @@ def group_rare(
 
 def category_shares(df: DataFrame, column: str, top_k: int = 10) -> DataFrame:
     """``value, share`` of the ``top_k`` values (NULL competes as ``missing``) and ``Others``."""
-    text = F.coalesce(as_text(column), F.lit(MISSING))
+    own = unreserved(present_text(df, column), MISSING, OTHERS)
+    text = F.coalesce(own, F.lit(MISSING))
     top = most_frequent(df, text, top_k)
     named = F.when(F.array_contains("__top", F.col("value")), F.col("value"))
     rows = (

@@ -2,8 +2,7 @@
 
 The tables are tagged and unioned, then one aggregate per bin or category gives
 the aligned counts of all three; PSI and KL are column arithmetic on that table.
-The aligned table is computed when the function is called unless it has very many
-categories.
+The aligned table is computed and stored when the function is called.
 """
 
 from __future__ import annotations
@@ -12,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from plumbline.functions.columns import MISSING, OTHERS, as_text, share
-from plumbline.functions.frames import one_row, pin
+from plumbline.functions.columns import MISSING, OTHERS, present_text, share, unreserved
+from plumbline.functions.frames import one_row
 from plumbline.operators.binning import Bins, quantile_bins
 from plumbline.operators.ranking import top_k_within
+from plumbline.sources.state import cut_lineage
 
 # Smoothing terms and class limits that define the published numbers.
 PSI_EPSILON = 1e-6
@@ -83,15 +83,24 @@ def aligned_category_shares(
     )
     others = one_row(train, bin=F.lit(OTHERS), **{s: F.lit(0) for s in SETS})
     summed = grouped.unionByName(others).groupBy("bin")
-    return normalised(pin(summed.agg(*[F.sum(s).alias(s) for s in SETS])))
+    return normalised(cut_lineage(summed.agg(*[F.sum(s).alias(s) for s in SETS])))
 
 
 def _categories(
     column: str, train: DataFrame, test: DataFrame, val: DataFrame
 ) -> DataFrame:
-    text = F.coalesce(as_text(column), F.lit(MISSING)).alias("bin")
     sets = {"train": train, "test": test, "val": val}
-    return _union_of({name: df.select(text) for name, df in sets.items()})
+    return _union_of(
+        {
+            name: df.select(_category(df, column))
+            for name, df in sets.items()
+        }
+    )
+
+
+def _category(df: DataFrame, column: str) -> Column:
+    own = unreserved(present_text(df, column), MISSING, OTHERS)
+    return F.coalesce(own, F.lit(MISSING)).alias("bin")
 
 
 def _union_of(sets: dict[str, DataFrame]) -> DataFrame:
@@ -100,7 +109,7 @@ def _union_of(sets: dict[str, DataFrame]) -> DataFrame:
 
 
 def _side_by_side(tagged: DataFrame) -> DataFrame:
-    return pin(
+    return cut_lineage(
         tagged.groupBy("bin").agg(
             *[F.count_if(F.col("set") == s).alias(s) for s in SETS]
         )

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import hash_number
-from plumbline.functions.frames import pin
 from plumbline.operators.ordering import row_numbers
+from plumbline.sources.state import cut_lineage
 
 
 def number_interactions(
@@ -79,7 +79,7 @@ def assign_split(
     """
     latest = F.col(recency) == 1
     source = df.where(latest) if sample_from is None else sample_from
-    sampled = pin(
+    sampled = cut_lineage(
         sample_users(source, n_test_users, seed, user).select(
             F.col(user).alias("__test_user")
         )

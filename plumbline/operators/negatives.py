@@ -5,9 +5,9 @@ being listed: unseen number ``c`` sits at catalogue position ``c`` plus the numb
 of own items before it. Drawing ``k`` distinct numbers below ``free`` therefore
 gives ``k`` unseen items at once, with no rejection, no retry and no pair table.
 
-Users with few own items carry them as a sorted array next to their rows. For the
-rest the same count of own items comes from a running total over (user, position)
-that one user's rows may share between many tasks. Both give the same items.
+The number of own items before a draw comes from a running total over own items and
+draws together, sorted by user and number; one user's rows share as many tasks as
+they fill, and no user's items are gathered.
 """
 
 from __future__ import annotations
@@ -15,14 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.arrays import count_below
 from plumbline.functions.columns import hash_number
-from plumbline.functions.frames import pin
 from plumbline.operators.interactions import label_rows, user_items
 from plumbline.operators.ordering import running_total
-
-ARRAY_LIMIT = 4096
-MAX_LOCAL_ITEMS = 100_000
+from plumbline.sources.state import cut_lineage
 
 
 def catalogue(df: DataFrame, item: str = "movie_id") -> DataFrame:
@@ -40,17 +36,17 @@ def negative_samples(
     item: str = "movie_id",
     qid: str = "qid",
     strict: bool = False,
-    array_limit: int = ARRAY_LIMIT,
+    blocks: int | None = None,
 ) -> DataFrame:
     """For every row of ``positives``, ``k`` copies with an unseen item each, label 0.
 
     ``qid`` identifies a row. A user with fewer than ``k`` unseen items gets all of
-    them, or an error if ``strict``. Item order and sizes of the users' item sets
-    are computed when the function is called.
+    them, or an error if ``strict``. The catalogue and each user's item positions are
+    stored when the function is called; ``blocks`` is passed to the running totals.
     """
-    items = pin(catalogue(positives, item), MAX_LOCAL_ITEMS)
+    items = cut_lineage(catalogue(positives, item))
     n_items = items.count()
-    owned = (
+    owned = cut_lineage(
         user_items(positives, user, item)
         .join(items, item)
         .select(user, F.col("position").alias("__own"))
@@ -58,17 +54,7 @@ def negative_samples(
     sizes = owned.groupBy(user).agg(F.count(F.lit(1)).alias("__size"))
     if strict and not sizes.where(n_items - F.col("__size") < k).isEmpty():
         raise ValueError(f"some users have fewer than {k} unseen items")
-
-    heavy = pin(sizes.where(F.col("__size") > array_limit))
-    light_owned = owned.join(heavy, user, "left_anti")
-    drawn = _draw_by_array(positives, light_owned, n_items, k, seed, user, qid, array_limit)
-    if not heavy.isEmpty():
-        heavy_owned = owned.join(heavy.select(user), user, "left_semi")
-        drawn = drawn.unionByName(
-            _draw_by_running_total(
-                positives, heavy_owned, heavy, n_items, k, seed, user, qid
-            )
-        )
+    drawn = _draw(positives, owned, sizes, n_items, k, seed, user, qid, blocks)
     named = drawn.drop(item).join(items, drawn["__position"] == items["position"])
     return label_rows(named.select(*positives.columns), 0)
 
@@ -105,34 +91,7 @@ def _distinct_draws(free: Column, k: int, seed: int, qid: str) -> Column:
     ).otherwise(none)
 
 
-def _draw_by_array(
-    positives: DataFrame,
-    owned: DataFrame,
-    n_items: int,
-    k: int,
-    seed: int,
-    user: str,
-    qid: str,
-    array_limit: int,
-) -> DataFrame:
-    # own[i] - i is the number of unseen items before the i-th own item.
-    sets = owned.groupBy(user).agg(F.sort_array(F.collect_list("__own")).alias("__own"))
-    gaps = sets.select(
-        user,
-        F.transform("__own", lambda own, i: own - i).alias("__gaps"),
-        (n_items - F.size("__own")).cast("long").alias("__free"),
-    )
-    positions = F.transform(
-        _distinct_draws(F.col("__free"), k, seed, qid),
-        lambda c: c + count_below(F.col("__gaps"), c + 1, array_limit),
-    )
-    # A shuffle join: the draws cost time per row, and a hot user's rows get split.
-    return positives.join(gaps.hint("merge"), user).select(
-        *positives.columns, F.explode(positions).alias("__position")
-    )
-
-
-def _draw_by_running_total(
+def _draw(
     positives: DataFrame,
     owned: DataFrame,
     sizes: DataFrame,
@@ -141,27 +100,34 @@ def _draw_by_running_total(
     seed: int,
     user: str,
     qid: str,
+    blocks: int | None,
 ) -> DataFrame:
-    ranked = running_total(owned, [F.col("__own")], by=[user], out="__rank")
+    ranked = running_total(owned, [F.col("__own")], by=[user], out="__rank", blocks=blocks)
+    # own - rank + 1 is the number of unseen items before an own item.
     gaps = ranked.select(
         user,
         (F.col("__own") - F.col("__rank") + 1).alias("__at"),
         F.lit(0).alias("__drawn"),
+        F.col("__own").alias("__tie"),
     )
     free = (n_items - F.col("__size")).cast("long")
-    draws = positives.join(sizes, user).select(
+    # The stored sizes are a plain side of the join, so a hot user's rows can be split.
+    draws = positives.join(cut_lineage(sizes), user).select(
         *positives.columns,
         F.explode(_distinct_draws(free, k, seed, qid)).alias("__at"),
         F.lit(1).alias("__drawn"),
+        F.col(qid).cast("long").alias("__tie"),
     )
-    # At equal numbers the own items come first, so each draw counts them too.
+    # At equal numbers the own items come first, so each draw counts them too. Own
+    # items next to each other share a number: their position tells them apart.
     stacked = draws.unionByName(gaps, allowMissingColumns=True)
     counted = running_total(
         stacked,
-        [F.col("__at"), F.col("__drawn"), F.col(qid)],
+        [F.col("__at"), F.col("__drawn"), F.col("__tie")],
         by=[user],
         weight=1 - F.col("__drawn"),
         out="__own_before",
+        blocks=blocks,
     )
     return counted.where(F.col("__drawn") == 1).select(
         *positives.columns, (F.col("__at") + F.col("__own_before")).alias("__position")

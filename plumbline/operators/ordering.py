@@ -1,42 +1,32 @@
 """Exact running numbers over data of any size and any skew.
 
 A window without partition keys puts the whole table in one task, and a window
-partitioned by a hot key puts that key in one task. Here the sort order itself
-is cut into blocks of about equal row counts, so one key may span many blocks:
-
-1. a hash-thinned sample of the sort keys gives the block bounds,
-2. one small aggregate gives, per block, the weight that runs over its end,
-3. rows are numbered inside (block, group) and the carried weight is added.
-
-Steps 1 and 2 run when the function is called, like the sampling job behind a
-range repartition, and bring back at most one key and two numbers per block.
-Step 3 is lazy: one shuffle of the rows. Bounds are fixed values in its plan, so
-a task recomputed after a lost executor sees the same blocks. A table counted to
-fit in one block is numbered by a plain window.
+partitioned by a hot key puts that key in one task. Here the sort order itself is
+cut into ranges, so one key may span many of them:
+
+1. rows are range-partitioned by (group, order) into as many ranges as their number
+   asks for, and stored with the number of their range,
+2. one small aggregate gives, per range, its first and last group and the weight
+   that runs over its end,
+3. rows are numbered inside (range, group) and the carried weight, from a table of
+   one row per range, is added.
+
+Step 1 runs when the function is called: the input is stored once, so it is computed
+once, then sampled and ranged from there. Steps 2 and 3 are lazy. There is one path
+for every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES_PER_BLOCK = 32
-BLOCKS_PER_PARTITION = 4
-MAX_BLOCKS = 8192
-ROWS_PER_BLOCK = 100_000
+from plumbline.sources.state import cut_lineage
 
-
-@dataclass(frozen=True)
-class _Blocks:
-    """Rows tagged with their block, and what each block inherits, or one block."""
-
-    rows: DataFrame
-    carry_all: list[int] | None = None
-    carry_group: list[int] | None = None
+ROWS_PER_BLOCK = 50_000
+MIN_BLOCKS = 4
 
 
 def running_total(
@@ -53,8 +43,8 @@ def running_total(
     way. Together with ``by`` it must identify a row, or ties are numbered in
     any order.
     """
-    cut = _cut(df, order, by, weight, blocks)
-    return _number(cut, order, by, out, grouped=bool(by)).rows.select(*df.columns, out)
+    rows = ranged(df, order, by, weight, blocks)
+    return _number(rows, order, by, out, grouped=bool(by)).select(*df.columns, out)
 
 
 def row_numbers(
@@ -68,135 +58,73 @@ def row_numbers(
     """1-based number inside each ``by`` group and, optionally, a 0-based number
     over the whole table sorted by (``by``, ``order``). Both come from one shuffle.
     """
-    cut = _cut(df, order, by, None, blocks)
+    rows = ranged(df, order, by, None, blocks)
     outs = [F.col(within)]
     if overall:
-        cut = _number(cut, order, by, overall, grouped=False)
+        rows = _number(rows, order, by, overall, grouped=False)
         outs.append((F.col(overall) - 1).alias(overall))
-    cut = _number(cut, order, by, within, grouped=True)
-    return cut.rows.select(*df.columns, *outs)
+    rows = _number(rows, order, by, within, grouped=True)
+    return rows.select(*df.columns, *outs)
 
 
-def _cut(
+def ranged(
     df: DataFrame,
     order: Sequence[Column],
     by: Sequence[str],
-    weight: Column | None,
-    blocks: int | None,
-) -> _Blocks:
-    spark = df.sparkSession
+    weight: Column | None = None,
+    blocks: int | None = None,
+) -> DataFrame:
+    """Stored rows with ``__weight`` and the number ``__block`` of their range."""
     weighted = (F.lit(1) if weight is None else weight).cast("long")
-    n_rows = df.count()
-    if blocks is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = -(-n_rows // ROWS_PER_BLOCK)
-        blocks = min(wanted, BLOCKS_PER_PARTITION * partitions, MAX_BLOCKS)
-    if blocks <= 1:
-        return _Blocks(df.withColumn("__weight", weighted))
-
-    group = F.struct(F.lit(0).alias("g"), *[F.col(c) for c in by])
-    parts: list[Column] = [group.alias("group")]
-    for i, column in enumerate(order):
-        parts.append(column.isNull().alias(f"n{i}"))
-        parts.append(column.alias(f"o{i}"))
-    keyed = df.select("*", F.struct(*parts).alias("__key"), weighted.alias("__weight"))
-    bounds = _bounds(keyed, blocks, n_rows)
-    block, own = F.col("__block"), F.col("__key.group")
-    searched = _search(
-        keyed.withColumn("__bounds", spark.createDataFrame(bounds).scalar()), blocks
+    rows = cut_lineage(df.withColumn("__weight", weighted))
+    blocks = blocks or max(MIN_BLOCKS, -(-rows.count() // ROWS_PER_BLOCK))
+    keys = [F.col(c).asc_nulls_first() for c in by] + [c.asc_nulls_last() for c in order]
+    if not keys:
+        raise ValueError("an order is needed")
+    cut = rows.repartitionByRange(blocks, *keys)
+    return cut_lineage(cut.withColumn("__block", F.spark_partition_id()))
+
+
+def _carried(rows: DataFrame, by: Sequence[str], grouped: bool) -> DataFrame:
+    """One row per range: ``__first``, its first group, and the weight it inherits."""
+    group = F.struct(F.lit(0).alias("g"), *[F.col(c) for c in by if grouped])
+    sums = (
+        rows.select("__block", group.alias("__group"), "__weight")
+        .groupBy("__block", "__group")
+        .agg(F.sum("__weight").alias("w"))
     )
-    # Only the block number and two flags travel through the shuffle, not the bounds.
-    rows = searched.withColumns(
-        {
-            "__open": F.get("__bounds", block - 1)["group"] == own,
-            "__over": F.get("__bounds", block)["group"] == own,
-        }
-    ).drop("__bounds", "__key")
-    tails = {
-        row["__block"]: row
-        for row in rows.groupBy("__block")
-        .agg(
-            F.sum("__weight").alias("all"),
-            F.sum(F.when(F.col("__over"), F.col("__weight"))).alias("group"),
-        )
-        .collect()
-    }
-    groups = [bound["group"] for bound in bounds.column("bounds")[0].as_py()]
-    return _Blocks(
-        rows,
-        _carry([_tail(tails, b, "all") for b in range(len(groups))], None),
-        _carry([_tail(tails, b, "group") for b in range(len(groups))], groups),
+    ends = sums.groupBy("__block").agg(
+        F.min("__group").alias("__first"), F.max(F.struct("__group", "w")).alias("last")
     )
-
-
-def _search(keyed: DataFrame, blocks: int) -> DataFrame:
-    """Add the number of bounds below the key: a binary search, one column per step.
-
-    Separate columns keep it compiled; an array function would be interpreted.
-    """
-    rows, at = keyed.withColumn("__block", F.lit(0)), F.col("__block")
-    step = 1 << (blocks.bit_length() - 1)
-    while step:
-        below = F.get("__bounds", at + (step - 1)) < F.col("__key")
-        rows = rows.withColumn("__block", at + F.when(below, step).otherwise(0))
-        step >>= 1
-    return rows
-
-
-def _tail(tails: dict, block: int, kind: str) -> int:
-    return (tails[block][kind] or 0) if block in tails else 0
-
-
-def _bounds(keyed: DataFrame, blocks: int, n_rows: int) -> pa.Table:
-    """One row: at most ``blocks - 1`` keys, evenly spaced in a sample of bounded size."""
-    step = max(1, n_rows // (SAMPLES_PER_BLOCK * blocks))
-    keys = F.col("keys")
-    picked = F.transform(
-        F.sequence(F.lit(1), F.lit(blocks - 1)),
-        lambda i: F.get(keys, F.floor(i * F.size(keys) / blocks).cast("int")),
+    # As many rows as there are ranges. A group's ranges follow each other, so what a
+    # range inherits is all that earlier ranges ending with that group hold of it.
+    before = Window.partitionBy("last.__group").orderBy("__block")
+    summed = ends.withColumn(
+        "run", F.sum("last.w").over(before.rowsBetween(Window.unboundedPreceding, 0))
     )
-    return (
-        keyed.select("__key")
-        .where(F.pmod(F.xxhash64("__key"), F.lit(step)) == 0)
-        .agg(F.sort_array(F.collect_set("__key")).alias("keys"))
-        .select(
-            F.array_distinct(F.filter(picked, lambda k: k.isNotNull())).alias("bounds")
-        )
-        .toArrow()
+    previous = F.lag(F.struct(F.col("last.__group").alias("group"), "run")).over(
+        Window.orderBy("__block")
+    )
+    tagged = summed.withColumn("previous", previous)
+    same = F.col("previous.group") == F.col("__first")
+    return tagged.select(
+        "__block", "__first", F.when(same, F.col("previous.run")).otherwise(0).alias("__carry")
     )
-
-
-def _carry(tails: list[int], groups: list | None) -> list[int]:
-    """Weight that the group open at the start of each block has before that block."""
-    carry = [0]
-    for block, tail in enumerate(tails):
-        same = block > 0 and (groups is None or groups[block] == groups[block - 1])
-        carry.append(tail + (carry[-1] if same else 0))
-    return carry
 
 
 def _number(
-    cut: _Blocks, order: Sequence[Column], by: Sequence[str], out: str, grouped: bool
-) -> _Blocks:
-    carry = cut.carry_group if grouped else cut.carry_all
+    rows: DataFrame, order: Sequence[Column], by: Sequence[str], out: str, grouped: bool
+) -> DataFrame:
     keys = [F.col(c) for c in by]
     within = keys if grouped else []
     sort = ([] if grouped else keys) + [c.asc_nulls_last() for c in order]
-    blocked = [] if carry is None else [F.col("__block")]
-    window = Window.partitionBy(*blocked, *within).orderBy(*sort)
     local = F.sum("__weight").over(
-        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("__block", *within)
+        .orderBy(*sort)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = cut.rows.withColumn(out, local)
-    if carry is not None:
-        block = F.col("__block")
-        carried = rows.sparkSession.createDataFrame(
-            pa.table({"carry": pa.array([carry], pa.list_(pa.int64()))})
-        )
-        continues = F.coalesce("__open", F.lit(False)) if grouped else block > 0
-        rows = rows.withColumn(
-            out,
-            F.col(out)
-            + F.when(continues, F.get(carried.scalar(), block)).otherwise(F.lit(0)),
-        )
-    return _Blocks(rows, cut.carry_all, cut.carry_group)
+    group = F.struct(F.lit(0).alias("g"), *within)
+    carried = _carried(rows, by, grouped)
+    joined = rows.join(carried, "__block").withColumn(out, local)
+    carry = F.when(F.col("__first") == group, F.col("__carry")).otherwise(F.lit(0))
+    return joined.withColumn(out, F.col(out) + carry).drop("__first", "__carry")

@@ -1,26 +1,23 @@
 """Quantiles with linear interpolation, overall or per group.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one
-buffer. Here the exact answer comes from three narrow passes, none of which
-gathers a group:
-
-1. a mergeable sketch gives cut points that closely bracket each wanted rank,
-2. rows are counted per cell between cut points,
-3. only the cells that hold a wanted rank are counted value by value.
-
-The sketch decides how small the cells are, never what the result is.
+Spark's exact ``percentile`` keeps every distinct value of a group in one buffer,
+and a sketch per task of one group meets in one task. Here values are counted first,
+the counts get their running total within the group by ranges of the sort order
+(:mod:`plumbline.operators.ordering`), and the rows that hold a wanted rank are
+picked. A group of any size is spread over as many tasks as it fills, and the result
+is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.arrays import count_below, running_before
 from plumbline.functions.columns import number
 from plumbline.functions.frames import attach, pin
+from plumbline.operators.ordering import running_total
 
 SKETCH_ACCURACY = 50_000
 
@@ -36,10 +33,11 @@ def quantiles(
 ) -> DataFrame:
     """``by`` columns, the ``extra`` aggregates and an array with one quantile per prob.
 
-    ``method="approx"`` stops after the sketch: one pass, rank error below
-    1 / 50,000. Without ``by`` the result is one row, also for an empty input.
+    ``method="approx"`` takes one pass with a mergeable sketch per group, rank error
+    below 1 / 50,000. Without ``by`` the result is one row, also for an empty input.
 
-    For the exact method the first two passes run when the function is called.
+    For the exact method ``df`` is read twice when the function is called: by the
+    aggregates, and by the count of each value, which is stored.
     """
     by = list(by)
     extra = dict(extra or {})
@@ -51,56 +49,21 @@ def quantiles(
     if method != "exact":
         raise ValueError(f"unknown quantile method: {method}")
 
-    value = number(column).alias("__x")
-    cut_probs = _bracketing(probs)
-    limit = len(cut_probs)
     summary = pin(
         df.groupBy(*by)
-        .agg(
-            *_named(extra),
-            F.percentile_approx(
-                number(column), _literals(cut_probs), SKETCH_ACCURACY
-            ).alias("__raw"),
-            F.count(number(column)).alias("__n"),
-        )
-        .withColumn("__cuts", F.array_sort(F.array_distinct("__raw")))
-        .drop("__raw")
+        .agg(*_named(extra), F.count(number(column)).alias("__n"))
+        .withColumn("__ranks", _ranks(probs)),
+        by,
     )
-    rows = df.select(*by, value).where(F.col("__x").isNotNull())
-    celled = (
-        attach(rows, summary, by, ["__cuts"])
-        .withColumn("__cell", count_below(F.col("__cuts"), F.col("__x"), limit))
-        .drop("__cuts")
-    )
-    cells = (
-        celled.groupBy(*by, "__cell")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .groupBy(*by)
-        .agg(F.sort_array(F.collect_list(F.struct("__cell", "__rows"))).alias("__cells"))
-    )
-    # One row per group from here on: wanted ranks, and the cells that hold them.
-    located = pin(
-        attach(summary, cells, by, ["__cells"])
-        .withColumn("__ranks", _ranks(probs))
-        .withColumn("__before", running_before(F.col("__cells")["__rows"]))
-        .withColumn("__hot", _hot_starts(limit))
-    )
-    hot_values = (
-        attach(celled, located.select(*by, "__hot"), by, ["__hot"])
-        .withColumn("__start", _computed_once(F.get("__hot", F.col("__cell"))))
-        .drop("__hot")
-        .where(F.col("__start").isNotNull())
-        .groupBy(*by, "__cell", "__start", "__x")
+    counted = (
+        df.select(*by, number(column).alias("__x"))
+        .where(F.col("__x").isNotNull())
+        .groupBy(*by, "__x")
         .agg(F.count(F.lit(1)).alias("__same"))
     )
-    running = F.sum("__same").over(
-        Window.partitionBy(*by, "__cell")
-        .orderBy("__x")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = hot_values.withColumn("__end", F.col("__start") + running)
+    placed = running_total(counted, [F.col("__x")], by, F.col("__same"), out="__end")
     picked = (
-        attach(placed, located.select(*by, "__ranks"), by, ["__ranks"])
+        attach(placed, summary.select(*by, "__ranks"), by, ["__ranks"])
         .where(
             F.exists(
                 "__ranks",
@@ -113,7 +76,7 @@ def quantiles(
     )
     names = [*by, *extra]
     finished = attach(
-        located.select(*names, "__ranks"), picked, by, ["__picked"]
+        summary.select(*names, "__ranks"), picked, by, ["__picked"]
     ).withColumn(out, F.transform("__ranks", _interpolated))
     return finished.select(*names, out)
 
@@ -135,13 +98,6 @@ def _literals(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def _bracketing(probs: Sequence[float]) -> list[float]:
-    margin = 2.0 / SKETCH_ACCURACY
-    return sorted(
-        {min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)}
-    )
-
-
 def _ranks(probs: Sequence[float]) -> Column:
     """Neighbouring 0-based ranks of each quantile and the weight of the upper one."""
     last = F.col("__n") - 1
@@ -164,34 +120,6 @@ def _inside(rank: Column, start: Column, end: Column) -> Column:
     return (start <= rank) & (rank < end)
 
 
-def _hot_starts(limit: int) -> Column:
-    """Per cell number, how many rows lie before it; NULL if no wanted rank is in it."""
-    spans = F.zip_with(
-        "__cells",
-        "__before",
-        lambda c, b: F.struct(
-            c["__cell"].alias("cell"), b.alias("start"), (b + c["__rows"]).alias("end")
-        ),
-    )
-    hot = F.filter(
-        spans,
-        lambda c: F.exists(
-            "__ranks",
-            lambda r: _inside(r["low"], c["start"], c["end"])
-            | _inside(r["high"], c["start"], c["end"]),
-        ),
-    )
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(limit)),
-        lambda i: F.get(F.filter(hot, lambda c: c["cell"] == i), F.lit(0))["start"],
-    )
-
-
-def _computed_once(value: Column) -> Column:
-    """Keep the optimizer from copying a long expression into the filter above it."""
-    return F.when(F.spark_partition_id() >= 0, value)
-
-
 def _interpolated(rank: Column) -> Column:
     def value_at(position: Column) -> Column:
         return F.get(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import number
+from plumbline.functions.columns import number, present
 from plumbline.functions.frames import attach, pin
 from plumbline.operators.quantiles import quantile_columns, quantiles
 
@@ -28,7 +28,7 @@ def numeric_summary(
         "std": F.stddev_samp(value),
         "min": F.min(value),
         "max": F.max(value),
-        **_target_stats(value, targets),
+        **_target_stats(df, value, targets),
     }
     table = quantiles(df, column, list(QUARTILES.values()), method=method, extra=aggregates)
     return quantile_columns(table, QUARTILES)
@@ -39,21 +39,21 @@ def categorical_summary(
 ) -> DataFrame:
     """Distinct values (NULL counts as one), rows, NULLs, and target mean and std over
     the rows where the feature is present."""
-    value = F.col(column)
+    value = present(df, column)
     return df.agg(
         (F.count_distinct(value) + F.coalesce(F.max(value.isNull().cast("int")), F.lit(0)))
         .cast("long")
         .alias("categories"),
         F.count(F.lit(1)).alias("total"),
         F.count_if(value.isNull()).alias("missing"),
-        *[c.alias(n) for n, c in _target_stats(value, targets).items()],
+        *[c.alias(n) for n, c in _target_stats(df, value, targets).items()],
     )
 
 
-def _target_stats(value: Column, targets: Sequence[str]) -> dict[str, Column]:
+def _target_stats(df: DataFrame, value: Column, targets: Sequence[str]) -> dict[str, Column]:
     stats: dict[str, Column] = {}
     for target in dict.fromkeys(targets):
-        seen = F.when(value.isNotNull(), F.col(target))
+        seen = F.when(value.isNotNull(), present(df, target))
         stats[f"{target}_mean"] = F.avg(seen)
         stats[f"{target}_std"] = F.stddev_samp(seen)
     return stats
@@ -115,8 +115,5 @@ def _fences(df: DataFrame, column: str, by: Sequence[str], method: str) -> DataF
         QUARTILES,
     )
     reach = (F.col("q3") - F.col("q1")) * WHISKER_REACH
-    return pin(
-        table.withColumn("low_fence", F.col("q1") - reach).withColumn(
-            "high_fence", F.col("q3") + reach
-        )
-    )
+    fenced = table.withColumn("low_fence", F.col("q1") - reach)
+    return pin(fenced.withColumn("high_fence", F.col("q3") + reach), by)

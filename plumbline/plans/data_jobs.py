@@ -20,7 +20,7 @@ from plumbline.operators.negatives import with_negatives
 from plumbline.operators.recommend import candidate_features
 from plumbline.settings import ProcessingSettings, merged, to_json
 from plumbline.sources.datasets import DatasetSpec, read, write, written
-from plumbline.sources.state import cut_lineage, load_settings, load_table, save_state
+from plumbline.sources.state import cut_lineage, load_settings, load_table, save_state, scratch
 
 Datasets = Mapping[str, DatasetSpec]
 
@@ -38,13 +38,15 @@ def process_training_data(
 ) -> DataFrame:
     """Raw files to processed users, movies and labelled ratings; returns label counts."""
     _process_sides(spark, data, settings)
-    numbered = written(
-        number_interactions(read(spark, data["raw_ratings"])), data["numbered_ratings"]
-    )
-    labelled = with_negatives(
-        numbered, settings.num_negative_samples, settings.random_state
-    )
-    return label_counts(written(labelled, data["ratings"]), "label")
+    with scratch(spark):
+        numbered = written(
+            number_interactions(read(spark, data["raw_ratings"])), data["numbered_ratings"]
+        )
+        labelled = with_negatives(
+            numbered, settings.num_negative_samples, settings.random_state
+        )
+        ratings = written(labelled, data["ratings"])
+    return label_counts(ratings, "label")
 
 
 def process_inference_data(
@@ -52,7 +54,8 @@ def process_inference_data(
 ) -> None:
     """The same for new data: no negatives and no label."""
     _process_sides(spark, data, settings)
-    write(number_interactions(read(spark, data["raw_ratings"])), data["ratings"])
+    with scratch(spark):
+        write(number_interactions(read(spark, data["raw_ratings"])), data["ratings"])
 
 
 def _process_sides(spark: SparkSession, data: Datasets, settings: ProcessingSettings) -> None:
@@ -64,6 +67,13 @@ def build_training_features(
     spark: SparkSession, data: Datasets, settings: ProcessingSettings, state_path: str
 ) -> None:
     """Processed tables to encoded train, val and test; the fitted state is always saved."""
+    with scratch(spark):
+        _build_training_features(spark, data, settings, state_path)
+
+
+def _build_training_features(
+    spark: SparkSession, data: Datasets, settings: ProcessingSettings, state_path: str
+) -> None:
     ratings = read(spark, data["ratings"])
     user_ids = dense_ids(ratings, "user_id")
     movie_ids = dense_ids(ratings, "movie_id")

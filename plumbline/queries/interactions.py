@@ -17,6 +17,7 @@ from plumbline.queries.tables import (
     ITEM_COLUMNS,
     KEYS,
     NEGATIVES,
+    NEGATIVES_HOT_SQL,
     NEGATIVES_SQL,
     NUMBERED_SQL,
     SEED,
@@ -26,6 +27,7 @@ from plumbline.queries.tables import (
     items,
     labelled,
     numbered,
+    table,
     rounded,
     users,
 )
@@ -76,6 +78,14 @@ def negative_samples(spark, d):
     return sample_negatives(positives, NEGATIVES, SEED, **COLUMNS)
 
 
+def negative_samples_hot(spark, d):
+    """All lines of every second item belong to one customer."""
+    hot = numbered(spark, d).withColumn(
+        "user_id", F.when(F.col("item_id") % 2 == 0, 1).otherwise(F.col("user_id")).cast("long")
+    )
+    return sample_negatives(cut_lineage(hot), NEGATIVES, SEED, **COLUMNS)
+
+
 def pos_neg_union(spark, d):
     return labelled(spark, d)
 
@@ -133,6 +143,14 @@ def frequency_encoded(spark, d):
     return FrequencyEncode(["segment", "nation"]).fit(df).transform(df)
 
 
+def frequency_encoded_many(spark, d):
+    """A column with as many categories as there are orders."""
+    df = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order"), F.col("o_orderkey").alias("code"), "o_orderpriority"
+    )
+    return FrequencyEncode(["code", "o_orderpriority"]).fit(df).transform(df)
+
+
 def encoded_with_unknown(spark, d):
     """Fitted on the small parts only; brands are NULL for the largest sizes."""
     df = items(spark, d).select(
@@ -153,6 +171,7 @@ QUERIES = {
         user_item_sets,
         unseen_items,
         negative_samples,
+        negative_samples_hot,
         pos_neg_union,
         label_counts,
         query_group_sizes,
@@ -164,6 +183,7 @@ QUERIES = {
         join_user_item_features,
         scaled_numeric,
         frequency_encoded,
+        frequency_encoded_many,
         encoded_with_unknown,
     )
 }
@@ -219,6 +239,7 @@ popular AS (
 SELECT c_custkey AS user_id, item_id FROM customer, popular
 EXCEPT SELECT user_id, item_id FROM interactions""",
     "negative_samples": f"WITH {NEGATIVES_SQL} SELECT * FROM negatives",
+    "negative_samples_hot": f"WITH {NEGATIVES_HOT_SQL} SELECT * FROM negatives",
     "pos_neg_union": f"WITH {NEGATIVES_SQL} SELECT * FROM labelled",
     "label_counts": f"""WITH {NEGATIVES_SQL}
 SELECT label, count(*) AS count FROM labelled GROUP BY 1""",
@@ -248,6 +269,11 @@ WITH s AS ({_frequency_sql("customer", "c_mktsegment")}),
 n AS ({_frequency_sql("customer", "c_nationkey")})
 SELECT c_custkey AS user_id, s.id::INT AS segment, n.id::INT AS nation
 FROM customer JOIN s ON c_mktsegment = s.value JOIN n ON c_nationkey::VARCHAR = n.value""",
+    "frequency_encoded_many": f"""
+WITH c AS ({_frequency_sql("orders", "o_orderkey")}),
+p AS ({_frequency_sql("orders", "o_orderpriority")})
+SELECT o_orderkey AS "order", c.id::INT AS code, p.id::INT AS o_orderpriority
+FROM orders JOIN c ON o_orderkey::VARCHAR = c.value JOIN p ON o_orderpriority = p.value""",
     "encoded_with_unknown": f"""
 WITH p AS (
   SELECT p_partkey AS item_id, p_size AS size,

@@ -38,6 +38,38 @@ def value_counts_with_nulls(spark, d):
     return rounded(counts.value_counts(_events_with_nulls(spark, d), "event_type"), "proportion")
 
 
+def _reserved_names(spark, d):
+    """Event types renamed to the names the tables use for their own rows."""
+    kind = F.col("event_type")
+    names = {"click": "missing", "view": "total", "purchase": "Others"}
+    renamed = F.nullif(kind, F.lit("error"))
+    for i, name in names.items():
+        renamed = F.when(kind == i, name).otherwise(renamed)
+    return table(spark, d, "events").select(renamed.alias("kind"))
+
+
+def value_counts_reserved_names(spark, d):
+    return rounded(counts.value_counts(_reserved_names(spark, d), "kind"), "proportion")
+
+
+def _with_nan(spark, d):
+    """Line numbers as doubles with NaN in every seventh order."""
+    missing = F.col("l_orderkey") % 7 == 0
+    return table(spark, d, "lineitem").select(
+        F.when(missing, float("nan")).otherwise(F.col("l_linenumber").cast("double")).alias("x"),
+        "l_quantity",
+    )
+
+
+def value_counts_nan(spark, d):
+    return rounded(counts.value_counts(_with_nan(spark, d), "x"), "proportion")
+
+
+def numeric_summary_nan_target(spark, d):
+    summary = summaries.numeric_summary(_with_nan(spark, d), "l_quantity", ["x"])
+    return rounded(summary, *_SUMMARY, "x_mean", "x_std")
+
+
 def stats_by_category_target(spark, d):
     stats = counts.stats_by_value(sales(spark, d), "l_returnflag", "target")
     return rounded(stats, "proportion", "target")
@@ -273,6 +305,9 @@ QUERIES = {
         value_counts_event_type,
         value_counts_total_only,
         value_counts_with_nulls,
+        value_counts_reserved_names,
+        value_counts_nan,
+        numeric_summary_nan_target,
         stats_by_category_target,
         stats_by_category,
         stats_over_time,
@@ -453,6 +488,10 @@ SELECT {keys}count, round(mean, 6) AS mean, round(q1, 6) AS q1, round(q2, 6) AS
 FROM f JOIN w {on}"""
 
 
+# A NaN counts as NULL.
+_NAN = """WITH source AS (
+  SELECT CASE WHEN l_orderkey % 7 <> 0 THEN l_linenumber::DOUBLE END AS x, l_quantity
+  FROM lineitem)"""
 _SALES = f"WITH {SALES_SQL}"
 _PRICED = f"""{_SALES},
 priced AS (SELECT *, CASE WHEN l_quantity >= 5 THEN l_extendedprice END AS price FROM sales)"""
@@ -493,6 +532,32 @@ FROM named GROUP BY flag""",
     "value_counts_with_nulls": _counts_sql(
         "SELECT nullif(event_type, 'error') AS event_type FROM events"
     ),
+    "value_counts_reserved_names": """
+WITH source AS (
+  SELECT CASE event_type WHEN 'click' THEN 'missing' WHEN 'view' THEN 'total'
+    WHEN 'purchase' THEN 'Others' WHEN 'error' THEN NULL ELSE event_type END AS kind FROM events),
+n AS (SELECT count(*) AS n FROM source)
+SELECT 'kind' AS var, value, count, round(count / n, 6) AS proportion
+FROM (
+  SELECT CASE WHEN kind IN ('missing', 'total') THEN '"' || kind || '"' ELSE kind END AS value,
+    count(*) AS count
+  FROM source WHERE kind IS NOT NULL GROUP BY 1
+  UNION ALL SELECT 'missing', count(*) FILTER (kind IS NULL) FROM source
+  UNION ALL SELECT 'total', count(*) FROM source), n""",
+    "value_counts_nan": f"""{_NAN}, n AS (SELECT count(*) AS n FROM source)
+SELECT 'x' AS var, value, count, round(count / n, 6) AS proportion
+FROM (
+  SELECT x::VARCHAR AS value, count(*) AS count FROM source WHERE x IS NOT NULL GROUP BY 1
+  UNION ALL SELECT 'missing', count(*) FILTER (x IS NULL) FROM source
+  UNION ALL SELECT 'total', count(*) FROM source), n""",
+    "numeric_summary_nan_target": f"""{_NAN}
+SELECT count(l_quantity) AS count, count(*) FILTER (l_quantity IS NULL) AS missing,
+  round(avg(l_quantity), 6) AS mean, round(stddev_samp(l_quantity), 6) AS std,
+  min(l_quantity) AS min, max(l_quantity) AS max,
+  round(quantile_cont(l_quantity, 0.25), 6) AS q1, round(quantile_cont(l_quantity, 0.5), 6) AS q2,
+  round(quantile_cont(l_quantity, 0.75), 6) AS q3,
+  round(avg(x), 6) AS x_mean, round(stddev_samp(x), 6) AS x_std
+FROM source""",
     "value_counts_total_only": """
 WITH n AS (SELECT count(*) AS n FROM events)
 SELECT value, count, round(count / n, 6) AS percentage

@@ -147,12 +147,14 @@ def _draws_sql() -> str:
     return ",\n".join(steps)
 
 
-NEGATIVES_SQL = f"""{NUMBERED_SQL},
+def _negatives_sql(numbered: str) -> str:
+    """Negatives and labelled rows of the table ``numbered`` that the text defines."""
+    return f"""{numbered},
 catalogue AS (
   SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS position
-  FROM (SELECT DISTINCT item_id FROM interactions)),
+  FROM (SELECT DISTINCT item_id FROM numbered)),
 owned AS (
-  SELECT DISTINCT user_id, position FROM interactions JOIN catalogue USING (item_id)),
+  SELECT DISTINCT user_id, position FROM numbered JOIN catalogue USING (item_id)),
 gaps AS (
   SELECT user_id, list(gap ORDER BY gap) AS gaps,
          (SELECT count(*) FROM catalogue) - count(*) AS free
@@ -175,4 +177,14 @@ labelled AS (
   SELECT user_id, item_id, rating, ts, interaction_num, qid, 1 AS label FROM numbered
   UNION ALL SELECT * FROM negatives)"""
 
+
+NEGATIVES_SQL = _negatives_sql(NUMBERED_SQL)
+NEGATIVES_HOT_SQL = _negatives_sql(
+    NUMBERED_SQL.replace("numbered AS (", "plain AS (", 1)
+    + """,
+numbered AS (
+  SELECT CASE WHEN item_id % 2 = 0 THEN 1 ELSE user_id END AS user_id, item_id, rating, ts,
+         interaction_num, qid FROM plain)"""
+)
+
 SCORE_SQL = f"({hash_sql('user_id', 'item_id')} % 20) / 20.0"

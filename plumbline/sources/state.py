@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = "settings"
+_open_scratch: list[str] = []
 
 
 def save_state(
@@ -32,23 +33,27 @@ def load_settings(spark: SparkSession, folder: str) -> dict[str, Any]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="plumbline-")
-        context.setCheckpointDir(folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stored"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A stored copy of ``df`` in the shared folder, so that passes over it start there."""
-    path = f"{shared_folder(df.sparkSession)}/plumbline-{uuid.uuid4().hex}"
+    folder = _open_scratch[-1] if _open_scratch else shared_folder(df.sparkSession)
+    path = f"{folder}/plumbline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Stored copies made inside are deleted at the end: write the results before that."""
+    folder = f"{shared_folder(spark)}/plumbline-{uuid.uuid4().hex}"
+    _open_scratch.append(folder)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from plumbline.operators import interactions as ops
+from plumbline.operators.ordering import ranged
 from plumbline.operators.encoders import FrequencyEncode, StandardScale
 from plumbline.operators.features import join_features
 from plumbline.operators.negatives import catalogue, negative_samples, with_negatives
@@ -53,11 +54,29 @@ def test_negatives_are_unseen_distinct_and_complete(spark):
     assert rows(negatives) != rows(other)
 
 
-def test_array_and_running_total_paths_agree(spark):
+def test_draws_do_not_depend_on_the_blocks(spark):
     df = some_ratings(spark)
-    by_array = negative_samples(df, k=5)
-    for limit in (0, 9):
-        assert rows(negative_samples(df, k=5, array_limit=limit)) == rows(by_array)
+    usual = rows(negative_samples(df, k=5))
+    for blocks in (1, 17):
+        assert rows(negative_samples(df, k=5, blocks=blocks)) == usual
+
+
+def test_a_hot_user_is_spread_over_blocks(spark):
+    """One user has four fifths of the rows and owns a long run of neighbouring items."""
+    df = spark.range(6000).selectExpr(
+        "id AS qid",
+        "CASE WHEN id % 5 < 4 THEN 1 ELSE id % 40 END AS user_id",
+        "CASE WHEN id % 5 < 4 THEN id % 3000 ELSE id END AS movie_id",
+    )
+    owned = df.where("user_id = 1").select("user_id", "movie_id").distinct()
+    sizes = [
+        r["count"]
+        for r in ranged(owned, [F.col("movie_id")], ["user_id"], blocks=16).groupBy("__block").count().collect()
+    ]
+    assert len(sizes) > 8 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    negatives = negative_samples(df, k=5, blocks=16)
+    assert negatives.join(df, ["user_id", "movie_id"], "left_semi").isEmpty()
+    assert negatives.groupBy("qid").count().where("count <> 5").isEmpty()
 
 
 def test_draws_match_brute_force(spark):

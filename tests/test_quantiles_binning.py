@@ -5,10 +5,13 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from plumbline.functions.arrays import count_below
+from plumbline.functions.frames import pin
 from plumbline.operators import binning, summaries
 from plumbline.operators.quantiles import quantiles
 
@@ -44,14 +47,12 @@ def test_quantiles_on_many_rows_and_groups(spark):
         assert got[key] == pytest.approx(expected.tolist(), rel=1e-12)
 
 
-def test_quantiles_of_too_many_groups_to_pin(spark, monkeypatch):
-    """Without pinned tables the passes are joins; the numbers stay the same."""
-    from plumbline.operators import quantiles as module
-
+def test_quantiles_of_many_groups(spark):
     df = spark.range(3000).selectExpr("id % 40 AS g", "CAST(id * id % 977 AS DOUBLE) AS x")
-    pinned = rows(quantiles(df, "x", [0.1, 0.5, 1.0], ["g"]))
-    monkeypatch.setattr(module, "pin", lambda frame: frame)
-    assert rows(quantiles(df, "x", [0.1, 0.5, 1.0], ["g"])) == pinned
+    got = {r["g"]: r["quantiles"] for r in quantiles(df, "x", [0.1, 0.5, 1.0], ["g"]).collect()}
+    for g in range(40):
+        own = [i * i % 977 for i in range(g, 3000, 40)]
+        assert got[g] == pytest.approx(np.quantile(own, [0.1, 0.5, 1.0]).tolist())
     assert rows(quantiles(df, "x", [0.5])) == [([float(np.median(_squares()))],)]
 
 
@@ -59,7 +60,7 @@ def _squares():
     return [i * i % 977 for i in range(3000)]
 
 
-def test_many_edges_use_the_search(spark):
+def test_many_edges(spark):
     df = spark.range(500).selectExpr("CAST(id AS DOUBLE) / 2 AS x")
     fine = binning.user_bins(spark, range(0, 201))
     coarse = [r["bin_id"] for r in fine.assign(df, "x").orderBy("x").collect()]
@@ -67,12 +68,17 @@ def test_many_edges_use_the_search(spark):
     assert [b or 0 for b in coarse] == expected.tolist()
 
 
-def test_pin_leaves_large_tables_alone(spark):
-    from plumbline.functions.frames import pin
+def test_pin_stores_groups_and_keeps_one_row_local(spark):
+    df = spark.range(3)
+    assert "LocalTableScan" in pin(df.groupBy().count(), [])._jdf.queryExecution().toString()
+    stored = pin(df.groupBy("id").count(), ["id"])
+    assert "plumbline-" in stored.inputFiles()[0] and stored.count() == 3
+
 
-    small, large = spark.range(3), spark.range(4)
-    assert "LocalTableScan" in pin(small, 3)._jdf.queryExecution().toString()
-    assert pin(large, 3) is large
+def test_an_array_longer_than_told_is_an_error(spark):
+    df = spark.range(1).select(count_below(F.array(F.lit(1), F.lit(2)), F.lit(3), 1).alias("n"))
+    with pytest.raises(Exception, match="more than 1"):
+        df.collect()
 
 
 def test_quantiles_ignore_null_and_nan(spark):
