@@ -25,13 +25,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
     )
     now = Stored(pairs)
-    while True:
-        before = _state(now.frame)
-        large = _large_star(now.frame)
-        small = Stored(_small_star(large))
+    state = _state(now.frame)
+    while state[0]:
+        after = Stored(_small_star(_large_star(now.frame)))
         now.drop()
-        now = small
-        if _state(now.frame) == before:
+        now, before, state = after, state, _state(after.frame)
+        if state == before:
             break
     # In the end every node but the root hangs directly under the root.
     roots = now.frame.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
