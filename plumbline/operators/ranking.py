@@ -45,11 +45,16 @@ def query_metrics(
         F.col(label).cast("double").alias("label"),
         F.col(pred).cast("float").alias("score"),
     )
-    positives = rows.groupBy("qid").agg(F.count_if(F.col("label") > 0).alias("positives"))
+    # Two reads of the rows: the first ones of each query, and these counts, from which
+    # positives, gains and the ideal list follow.
+    counts = rows.groupBy("qid", "score", "label").agg(F.count(F.lit(1)).alias("size"))
+    positives = counts.groupBy("qid").agg(
+        F.sum(F.when(F.col("label") > 0, F.col("size")).otherwise(0)).alias("positives")
+    )
     hits = _hits(rows, ks)
-    gains = _tied_gain(rows, "score", ks, "dcg")
+    gains = _tied_gain(counts, "score", ks, "dcg")
     ideal = _tied_gain(
-        rows.withColumn("score", F.col("label").cast("float")), "score", ks, "ideal"
+        counts.withColumn("score", F.col("label").cast("float")), "score", ks, "ideal"
     )
     joined = positives
     for table in (hits, gains, ideal):
@@ -157,11 +162,13 @@ def _hits(rows: DataFrame, ks: Sequence[int]) -> DataFrame:
     return marked.groupBy("qid").agg(*aggregates)
 
 
-def _tied_gain(rows: DataFrame, score: str, ks: Sequence[int], out: str) -> DataFrame:
+def _tied_gain(counts: DataFrame, score: str, ks: Sequence[int], out: str) -> DataFrame:
     """Discounted gain in which tied rows share the mean label of their group."""
     top = max(ks)
-    groups = rows.groupBy("qid", score).agg(
-        F.count(F.lit(1)).alias("size"), F.avg("label").alias("gain")
+    labelled = F.when(F.col("label").isNotNull(), F.col("size"))
+    groups = counts.groupBy("qid", score).agg(
+        (F.sum(F.col("label") * F.col("size")) / F.sum(labelled)).alias("gain"),
+        F.sum("size").alias("size"),
     )
     # Each group has a row or more, so the first `top` groups cover the top ranks.
     first = top_k_within(groups, ["qid"], [F.desc(score)], top, out="place")
