@@ -138,7 +138,9 @@ def test_recommendations(spark, finished):
 
 
 def test_trials_and_importance(spark, finished, roots):
-    logged = trials.read_trials(spark, f"{roots['artefacts']}/trials", run="search")
+    logged = trials.read_trials(
+        spark, f"{roots['artefacts']}/trials", run=finished["search"].run
+    )
     assert logged.count() == 1
     best = trials.best_trial(logged).first()
     assert best["metric"] == finished["search"].best_metric
