@@ -123,6 +123,20 @@ def words(texts: Texts, fold: bool = True, breaks: np.ndarray | None = None) ->
     return Words(hashes, texts.owner(starts), starts, ends)
 
 
+def spans(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word, and hash, of every ``size`` words in a row of one text.
+
+    The hash comes from running sums too, so the cost does not depend on ``size``.
+    """
+    n = len(w.hashes)
+    if n < size:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    at = np.flatnonzero(w.owner[size - 1 :] == w.owner[: n - size + 1])
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(w.hashes * _power("up", _BASE, n), out=sums[1:])
+    return at, mix((sums[at + size] - sums[at]) * _power("down", _BASE_INVERSE, n)[at])
+
+
 def shingles(w: Words, size: int, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``size`` words in a row, and the text of each, grouped by text.
 

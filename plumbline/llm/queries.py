@@ -15,6 +15,7 @@ from plumbline.llm import (
     digest,
     hyperlang,
     paragraphs,
+    passages,
     pieces,
     pii,
     quality,
@@ -107,6 +108,10 @@ def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op7_automaton": op7_automaton,
     "op8_language": op8_language,
     "op9_paragraphs": op9_paragraphs,
+    "op9_passages": op9_passages,
     "op10_chosen_path": op10_chosen_path,
 }
 
