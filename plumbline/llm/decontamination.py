@@ -9,7 +9,7 @@ the document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.binding import let
@@ -18,6 +18,9 @@ from plumbline.llm.storage import Stored
 WINDOW = 8
 COVERAGE = 0.5
 CONSISTENT = 0.8
+#: Hits of one occurrence have document positions that shift by at most so many tokens
+#: against the item's, from one to the next: values may have more words than others.
+SLACK = 3
 #: Windows of the benchmark up to this number travel as a broadcast; more are shuffled.
 BROADCAST_WINDOWS = 200_000
 
@@ -91,6 +94,34 @@ def _values(slots: Column) -> Column:
     return F.regexp_extract_all(slots, F.lit("[\x01-\x03][^\x01-\x03]*"), F.lit(0))
 
 
+def _occurrences(hits: DataFrame, pair: list[str]) -> DataFrame:
+    """Every hit once for each ``way`` to judge it together with others, and its ``part``.
+
+    All hits of a pair; its verbatim hits; those at one shift against the item, up to
+    ``SLACK`` from each to the next; and those in a row whose item position does not
+    fall back by more than ``SLACK``.
+    """
+    own = Window.partitionBy(*pair)
+    shift = F.col("at") - F.col("__item_at")
+    by_shift, by_place = own.orderBy("shift"), own.orderBy("at", "__item_at")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    told = (
+        hits.withColumn("shift", shift)
+        .withColumn("jump", (F.col("shift") - F.lag("shift").over(by_shift) > SLACK).cast("int"))
+        .withColumn(
+            "back",
+            (F.lag("__item_at").over(by_place) - F.col("__item_at") > SLACK).cast("int"),
+        )
+        .withColumn("aligned", F.sum(F.coalesce("jump", F.lit(0))).over(by_shift.rowsBetween(*so_far)))
+        .withColumn("run", F.sum(F.coalesce("back", F.lit(0))).over(by_place.rowsBetween(*so_far)))
+    )
+    verbatim = F.when(F.col("slots") == F.col("__item_slots"), 0).cast("long")
+    ways = [F.lit(0).cast("long"), verbatim, F.col("aligned"), F.col("run")]
+    return told.select(
+        *pair, "hash", "__item_slots", "slots", "at", F.posexplode(F.array(*ways)).alias("way", "part")
+    ).where(F.col("part").isNotNull())
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -106,9 +137,11 @@ def contaminated(
 
     Columns: ``id``, ``item``, ``n_windows`` of the item, ``n_matched`` of them found,
     their share ``coverage``, the share ``consistency`` of the item's slot values that
-    have one single value in the document (1 without slots), ``reparameterised`` (a
-    value differs) and ``first_token`` of the match. A row needs at least ``coverage``
-    and ``consistent``. Windows that are mostly placeholders say little and are not
+    have one single value (1 without slots), ``reparameterised`` (a value differs) and
+    ``first_token`` of the match. A row needs at least ``coverage`` and ``consistent``.
+    A document may hold several versions of an item: these are judged over all its hits,
+    over the verbatim ones, and over each occurrence, by aligned positions and by runs
+    in which the item's position does not fall back. The best that passes is told. Windows that are mostly placeholders say little and are not
     used. Rows with the same id count as one document; NULL and empty texts match
     nothing; an item shorter than a window is only found where a whole document has
     its template.
@@ -122,8 +155,8 @@ def contaminated(
     known = (
         windows(keyed.distinct(), ["__item"], "__text", size)
         .where(F.regexp_count("slots", F.lit("[\x01-\x03]")) * 2 <= size)
-        .select("__item", F.col("hash"), F.col("slots").alias("__item_slots"))
-        .distinct()
+        .groupBy("__item", "hash", F.col("slots").alias("__item_slots"))
+        .agg(F.min("at").alias("__item_at"))
     )
     totals = known.groupBy("__item").agg(F.countDistinct("hash").alias("n_windows"))
     side = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
@@ -132,24 +165,26 @@ def contaminated(
     hits = Stored(
         windows(wanted, ["__id"], "__text", size)
         .join(side, "hash")
-        .groupBy("__id", "__item", "hash", "__item_slots", "slots")
-        .agg(F.min("at").alias("at"))
+        .select("__id", "__item", "hash", "__item_slots", "__item_at", "slots", "at")
+        .distinct()
     ).frame
     pair = ["__id", "__item"]
-    matched = hits.groupBy(*pair).agg(
+    grouped = [*pair, "way", "part"]
+    each = _occurrences(hits, pair)
+    matched = each.groupBy(*grouped).agg(
         F.countDistinct("hash").alias("n_matched"), F.min("at").alias("first_token")
     )
-    slots = hits.where(F.col("slots") != "").select(
-        *pair,
+    slots = each.where(F.col("slots") != "").select(
+        *grouped,
         F.explode(F.arrays_zip(_values(F.col("__item_slots")), _values(F.col("slots")))).alias("z"),
     )
     agreed = (
-        slots.groupBy(*pair, F.col("z")["0"].alias("own"))
+        slots.groupBy(*grouped, F.col("z")["0"].alias("own"))
         .agg(
             F.countDistinct(F.col("z")["1"]).alias("n"),
             F.max((F.col("z")["1"] != F.col("z")["0"]).cast("int")).alias("other"),
         )
-        .groupBy(*pair)
+        .groupBy(*grouped)
         .agg(
             F.avg((F.col("n") == 1).cast("double")).alias("consistency"),
             F.max("other").alias("other"),
@@ -158,15 +193,34 @@ def contaminated(
     matched = matched.join(totals, "__item").where(
         F.col("n_matched") >= coverage * F.col("n_windows")
     )
-    same = matched["__id"].eqNullSafe(agreed["__id"]) & (matched["__item"] == agreed["__item"])
-    found = matched.join(agreed, same, "left").select(
-        matched["__id"].alias(id),
-        matched["__item"].alias(item),
+    same = matched["__id"].eqNullSafe(agreed["__id"])
+    for name in grouped[1:]:
+        same = same & (matched[name] == agreed[name])
+    judged = matched.join(agreed, same, "left").select(
+        matched["__id"],
+        matched["__item"],
         "n_windows",
         "n_matched",
-        (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
         F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
-        (F.coalesce("other", F.lit(0)) == 1).alias("reparameterised"),
+        F.coalesce("other", F.lit(0)).alias("other"),
         "first_token",
     )
-    return found.where(F.col("consistency") >= consistent)
+    rank = F.struct(
+        (-F.col("n_matched")).alias("n"), (-F.col("consistency")).alias("c"), "other", "first_token"
+    )
+    best = (
+        judged.where(F.col("consistency") >= consistent)
+        .groupBy(*pair, "n_windows")
+        .agg(F.min(rank).alias("best"))
+    )
+    n_matched = -F.col("best.n")
+    return best.select(
+        F.col("__id").alias(id),
+        F.col("__item").alias(item),
+        "n_windows",
+        n_matched.alias("n_matched"),
+        (n_matched / F.col("n_windows")).alias("coverage"),
+        (-F.col("best.c")).alias("consistency"),
+        (F.col("best.other") == 1).alias("reparameterised"),
+        F.col("best.first_token").alias("first_token"),
+    )

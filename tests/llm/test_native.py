@@ -83,6 +83,21 @@ def test_decontamination(spark):
     assert decontamination.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_versions_of_an_item_in_one_document(spark):
+    other = PARAM.replace("Denver", "Austin").replace("85", "64").replace("Bob", "Carol")
+    far = " ".join(f"filler{i}" for i in range(40)).translate(str.maketrans("0123456789", "abcdefghij"))
+    head, tail = ITEM[:58], ITEM[58:]
+    docs = [(1, f"{ITEM}\n{PARAM}"), (2, f"{PARAM}\n{ITEM}"), (3, f"{PARAM}\n{other}"), (4, f"{PARAM} {far}. {other}")]
+    docs += [(5, f"{MIXED}\n{MIXED}"), (6, f"{head} {far} {tail}"), (7, f"{MIXED}\n{TWICE}")]
+    df = spark.createDataFrame([(*d, 1, 2, "x") for d in docs], SCHEMA)
+    bench = spark.createDataFrame([(9, ITEM, 1), (13, TWICE, 1)], "item_id LONG, text STRING, doc_id INT")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.contaminated(df, bench).collect()}
+    assert set(got) == {(1, 9), (2, 9), (3, 9), (4, 9), (6, 9), (7, 13)}
+    assert [got[i, 9].reparameterised for i in (1, 2, 3, 4)] == [False, False, True, True]
+    assert got[1, 9].consistency == got[2, 9].consistency == 1.0
+    assert got[2, 9].first_token > 15 and got[1, 9].first_token == 0
+
+
 def test_both_joins_agree(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark"))
     small = sorted(map(tuple, decontamination.contaminated(docs, bench).collect()))
