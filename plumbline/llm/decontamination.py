@@ -58,13 +58,16 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
 
 
-def windows(df: DataFrame, keys: list[str], text: str, size: int = WINDOW) -> DataFrame:
+def windows(
+    df: DataFrame, keys: list[str], text: str, size: int = WINDOW, literal: bool = False
+) -> DataFrame:
     """``keys`` with ``at``, ``hash`` and ``slots`` (marked values in order) of every window.
 
-    A text with fewer tokens, but some, has one window of all of them.
+    A text with fewer tokens, but some, has one window of all of them. ``literal`` adds
+    ``n``, the window's number of tokens, and ``exact``, the hash of the tokens without marks.
     """
 
-    def every(h: Column, v: Column) -> Column:
+    def every(h: Column, v: Column, found: Column) -> Column:
         last = F.greatest(F.size(h) - size, F.lit(0))
         return F.transform(
             F.when(F.size(h) > 0, F.sequence(F.lit(0), last)),
@@ -72,9 +75,16 @@ def windows(df: DataFrame, keys: list[str], text: str, size: int = WINDOW) -> Da
                 i.alias("at"),
                 F.xxhash64(F.slice(h, i + 1, F.lit(size))).alias("hash"),
                 F.array_join(F.slice(v, i + 1, F.lit(size)), "").alias("slots"),
+                *plain(F.slice(found, i + 1, F.lit(size))),
             ),
         )
 
+    def plain(some: Column) -> list[Column]:
+        if not literal:
+            return []
+        bare = F.transform(some, lambda x: F.regexp_replace(x, "[\x01-\x03]", ""))
+        return [F.size(some).alias("n"), F.xxhash64(bare).alias("exact")]
+
     def of(found: Column) -> Column:
         # Marks sort before letters and figures.
         marked = F.lit("\x04")
@@ -82,11 +92,11 @@ def windows(df: DataFrame, keys: list[str], text: str, size: int = WINDOW) -> Da
             found, lambda x: F.xxhash64(F.when(x < marked, F.left(x, F.lit(1))).otherwise(x))
         )
         values = F.transform(found, lambda x: F.when(x < marked, x).otherwise(""))
-        return let(hashes, lambda h: let(values, lambda v: every(h, v)))
+        return let(hashes, lambda h: let(values, lambda v: every(h, v, found)))
 
     made = let(tokens(F.col(text)), of)
     each = df.select(*keys, F.explode(made).alias("__w"))
-    return each.select(*keys, "__w.at", "__w.hash", "__w.slots")
+    return each.select(*keys, "__w.*")
 
 
 def _values(slots: Column) -> Column:
@@ -141,10 +151,10 @@ def contaminated(
     ``first_token`` of the match. A row needs at least ``coverage`` and ``consistent``.
     A document may hold several versions of an item: these are judged over all its hits,
     over the verbatim ones, and over each occurrence, by aligned positions and by runs
-    in which the item's position does not fall back. The best that passes is told. Windows that are mostly placeholders say little and are not
-    used. Rows with the same id count as one document; NULL and empty texts match
-    nothing; an item shorter than a window is only found where a whole document has
-    its template.
+    in which the item's position does not fall back. The best that passes is told. Windows that are mostly placeholders say little as
+    templates: they match only with their own values. Rows with the same id count as one document; NULL and empty texts match
+    nothing; an item shorter than a window is found where a document holds all its
+    tokens in a row, or where a whole document has its template.
 
     The benchmark's windows are counted first (one small job): up to
     ``BROADCAST_WINDOWS`` they are broadcast and documents are not shuffled before the
@@ -152,22 +162,38 @@ def contaminated(
     """
     keyed = benchmark.select(F.col(item).alias("__item"), F.col(item_text).alias("__text"))
     # The same item may be listed twice: windows of one item at one place count once.
+    each = windows(keyed.distinct(), ["__item"], "__text", size, literal=True).withColumn(
+        "dense", F.regexp_count("slots", F.lit("[\x01-\x03]")) * 2 > size
+    )
+    own = each.withColumn("hash", F.when(F.col("dense"), F.col("exact")).otherwise(F.col("hash")))
+    totals = own.groupBy("__item").agg(F.countDistinct("hash").alias("n_windows"))
     known = (
-        windows(keyed.distinct(), ["__item"], "__text", size)
-        .where(F.regexp_count("slots", F.lit("[\x01-\x03]")) * 2 <= size)
+        own.where(~F.col("dense"))
         .groupBy("__item", "hash", F.col("slots").alias("__item_slots"))
         .agg(F.min("at").alias("__item_at"))
     )
-    totals = known.groupBy("__item").agg(F.countDistinct("hash").alias("n_windows"))
-    side = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
+    by_words = (
+        own.where(F.col("dense") | (F.col("n") < size))
+        .groupBy("__item", "hash", "exact", "n")
+        .agg(F.min("at").alias("__item_at"))
+    )
+    sizes = {r["n"]: r["count"] for r in by_words.groupBy("n").count().collect()}
     wanted = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"))
-    # Stored: the few windows that match are read twice, the documents once.
-    hits = Stored(
-        windows(wanted, ["__id"], "__text", size)
-        .join(side, "hash")
-        .select("__id", "__item", "hash", "__item_slots", "__item_at", "slots", "at")
-        .distinct()
-    ).frame
+    columns = ["__id", "__item", "hash", "__item_slots", "__item_at", "slots", "at"]
+
+    def small(side: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(side) if n <= BROADCAST_WINDOWS else side
+
+    met = windows(wanted, ["__id"], "__text", size).join(small(known, known.count()), "hash")
+    met = met.select(*columns)
+    # Only a benchmark with such items has the documents' windows made by their words too.
+    for n, count in sorted(sizes.items()):
+        side = by_words.where(F.col("n") == n).drop("n").withColumn("__item_slots", F.lit(""))
+        there = windows(wanted, ["__id"], "__text", n, literal=True).drop("hash", "slots", "n")
+        said = there.join(small(side, count), "exact").withColumn("slots", F.lit(""))
+        met = met.union(said.select(*columns))
+    # Stored: the few windows that match are read twice, the documents once for each size.
+    hits = Stored(met.distinct()).frame
     pair = ["__id", "__item"]
     grouped = [*pair, "way", "part"]
     each = _occurrences(hits, pair)

@@ -98,6 +98,24 @@ def test_versions_of_an_item_in_one_document(spark):
     assert got[2, 9].first_token > 15 and got[1, 9].first_token == 0
 
 
+def test_items_of_figures_capitals_and_few_words(spark):
+    sums = "Compute 12 + 7 + 93 + 4 + 18 + 5 + 61 + 30 now"
+    title = "What Is The Largest Known Planet Near Any Distant Giant Star"
+    items = [(1, sums), (2, title), (3, "why do cats purr"), (4, "2 + 2 = 4"), (5, title.upper()), (6, ITEM)]
+    docs = [(1, sums), (2, f"Some page. Q: {sums} and more"), (3, sums.replace("93", "94").replace("18", "81"))]
+    docs += [(4, f"Read this: {title}"), (5, "What Is A Very Small Unknown Moon Near My Other Lesser Sun")]
+    docs += [(6, "so why do cats purr at night when they sleep"), (7, "so why do dogs purr at night when they sleep")]
+    docs += [(8, "we know that 2 + 2 = 4 and go on from there"), (9, "we know that 2 + 3 = 5 and go on from there")]
+    docs += [(10, f"{title.upper()} and then"), (11, None), (12, ""), (13, f"see {PARAM}")]
+    df = spark.createDataFrame([(*d, 1, 2, "x") for d in docs], SCHEMA)
+    bench = spark.createDataFrame([(*x, 1) for x in items], "item_id LONG, text STRING, doc_id INT")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.contaminated(df, bench).collect()}
+    titles = {(d, i) for d in (4, 10) for i in (2, 5)}
+    assert set(got) == {(1, 1), (2, 1), (6, 3), (8, 4), (13, 6)} | titles
+    assert got[1, 1].coverage == got[10, 5].coverage == got[6, 3].coverage == 1.0
+    assert got[6, 3].first_token == 1 and not got[6, 3].reparameterised and got[13, 6].reparameterised
+
+
 def test_both_joins_agree(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark"))
     small = sorted(map(tuple, decontamination.contaminated(docs, bench).collect()))
