@@ -14,13 +14,17 @@ from plumbline.llm import (
     decontamination,
     digest,
     hyperlang,
+    neighbours,
     paragraphs,
     passages,
+    periodic,
     pieces,
     pii,
     quality,
     token_counts,
+    variants,
 )
+from plumbline.llm.binding import let
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +120,78 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def _made_periodic(id: Column, text: Column) -> Column:
+    """The text of one id in ten with its words from some place on replaced by a cycle."""
+    h = F.crc32(id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def cycle(words: Column, n: Column) -> Column:
+        start = g % n
+        period = 1 + F.floor((n - start) / (3 + g % 8))
+
+        def turned(at: Column) -> Column:
+            def source(i: Column) -> Column:
+                return F.when(i < at["start"], i).otherwise(
+                    at["start"] + (i - at["start"]) % at["period"]
+                )
+
+            places = F.sequence(F.lit(0).cast("long"), n - 1)
+            picked = F.transform(places, lambda i: F.get(words, source(i).cast("int")))
+            return F.array_join(picked, " ")
+
+        return let(F.struct(start.alias("start"), period.alias("period")), turned)
+
+    def changed(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        return F.when(n > 0, cycle(words, n)).otherwise(text)
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(h % 10 == 0, let(words, changed)).otherwise(text)
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = docs.select("doc_id", _made_periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(made)
+    best = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")
+            ),
+        )
+    )
+    lines = F.transform(
+        "runs",
+        lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")),
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = variants.word_counts(
+        table(spark, sf_dir, "documents"), rewrite=variants.drop_letter
+    )
+    frequent = counts.where(
+        (F.char_length("word") >= variants.MIN_LETTERS) & (F.col("n") >= variants.MIN_COUNT)
+    )
+    return variants.spelling_variants(frequent)
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -128,6 +204,9 @@ QUERIES: dict[str, Query] = {
     "op9_paragraphs": op9_paragraphs,
     "op9_passages": op9_passages,
     "op10_chosen_path": op10_chosen_path,
+    "op11_periodic": op11_periodic,
+    "op12_variants": op12_variants,
+    "op13_neighbours": op13_neighbours,
 }
 
 #: Tokenizers, models, digests and MinHash have no SQL; tests/llm holds them against brute force.
