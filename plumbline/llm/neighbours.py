@@ -36,9 +36,9 @@ RECALL = 0.96
 #: A query that would have to visit more buckets than this visits all.
 MAX_PROBES = 4096
 #: Buckets are put together to about so many bytes of vectors; larger ones are cut.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 23
 #: Queries that meet a block in one task, and that are compared with it at once.
-BLOCK_QUERIES = 1 << 14
+BLOCK_QUERIES = 1 << 12
 CHUNK = 256
 _SEED = 1618
 
