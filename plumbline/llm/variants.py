@@ -2,9 +2,9 @@
 
 Near words are found by asymmetric chunks. A word of length m gives two disjoint chunks
 of q = m // 2 letters; the other word gives its positional grams of that length. One
-edit leaves one chunk whole and moves it by one place at most, so two near words share
-a chunk and a gram with positions at most one apart. Only grams that are that close to
-a chunk's place are made: a fixed number for each word, however long it is.
+edit leaves one chunk whole: the first one in its place, or the second one moved by
+what the words differ in length, one place at most. Grams anywhere else can meet no
+chunk and are not made, so a word gives a fixed number of them, however long it is.
 """
 
 from __future__ import annotations
@@ -101,19 +101,17 @@ def _chunks(word: Column, length: Column) -> Column:
     )
 
 
-def _grams(word: Column, length: Column) -> Column:
-    """Grams of ``word`` for chunks of words one letter shorter, as long, and one longer,
-    each at most one place from where such a word has its chunk."""
+def _grams(word: Column) -> Column:
+    """Grams of ``word`` where a word as long, or one letter shorter, has its chunks."""
     made = []
-    for more in (-1, 0, 1):
-        other = length + more
-        q = F.expr(f"(length + {more}) div 2").cast("int")
-        for slot, places in ((0, (0, 1)), (1, (-1, 0, 1))):
-            for place in places:
-                start = (q * slot + place + 1).cast("int")
-                gram = F.when(start + q - 1 <= length, F.substr(word, start, q))
-                made.append(_slot(other, slot, gram))
-    return F.filter(F.array(*made), lambda g: g["gram"].isNotNull())
+    for more in (0, 1):
+        other = F.expr(f"length - {more}")
+        q = F.expr(f"(length - {more}) div 2").cast("int")
+        made += [
+            _slot(other, 0, F.substr(word, F.lit(1), q)),
+            _slot(other, 1, F.substr(word, q + 1 + more, q)),
+        ]
+    return F.array(*made)
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -128,11 +126,22 @@ def near_words(words: DataFrame) -> DataFrame:
         F.col("n").alias("other_n"),
         F.inline(_chunks(F.col("word"), F.col("length"))),
     )
-    grams = sized.select("word", F.inline(_grams(F.col("word"), F.col("length"))))
+    grams = sized.select(
+        "word", "n", F.col("length").alias("own"), F.inline(_grams(F.col("word")))
+    )
+    # Of two words as long as each other the smaller one gives the grams.
+    once = (F.col("own") > F.col("length")) | (F.col("word") < F.col("other"))
     met = grams.join(chunks, ["length", "slot", "gram"]).where(
-        (F.col("word") != F.col("other")) & (F.levenshtein("word", "other", 1) == 1)
+        once & (F.levenshtein("word", "other", 1) == 1)
+    )
+    pairs = met.select("word", "n", "other", "other_n").distinct()
+    both = F.array(
+        F.struct("word", "other", "other_n"),
+        F.struct(
+            F.col("other").alias("word"), F.col("word").alias("other"), F.col("n").alias("other_n")
+        ),
     )
-    return met.select("word", "other", "other_n").distinct()
+    return pairs.select(F.inline(both))
 
 
 def spelling_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
