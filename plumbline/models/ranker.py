@@ -5,19 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.models.nodes import by_round, logistic_loss, staged_margins
 from plumbline.operators.ranking import compare_models, metric_table
 from plumbline.operators.recommend import top_recommendations
 from plumbline.settings import ModelSettings
 
 VECTOR = "__features"
 VALIDATION = "__validation"
+FILLED = "__filled_"
+MISSING = "-1e300D"
 
 
 def feature_matrix(
@@ -32,6 +35,32 @@ def feature_matrix(
     return matrix.orderBy(qid) if ordered else matrix
 
 
+def feature_stages(features: Sequence[str]) -> list[Transformer]:
+    """Stages that make the feature vector.
+
+    Trees of MLlib take no NaN: a missing value becomes one far below all others, which
+    a split can set apart.
+    """
+    filled = ", ".join(
+        f"coalesce(nullif(CAST(`{c}` AS DOUBLE), double('NaN')), {MISSING}) AS `{FILLED}{c}`"
+        for c in features
+    )
+    return [
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"{FILLED}{c}" for c in features], outputCol=VECTOR),
+    ]
+
+
+def feature_names_of(model: PipelineModel) -> list[str]:
+    return [c.removeprefix(FILLED) for c in model.stages[-2].getInputCols()]
+
+
+def with_vectors(stages: Sequence[Transformer], df: DataFrame) -> DataFrame:
+    """``df`` and its feature vector, by the stages of :func:`feature_stages`."""
+    made = PipelineModel(list(stages)).transform(df)
+    return made.select(*df.columns, VECTOR)
+
+
 def fit_ranker(
     train: DataFrame,
     settings: ModelSettings,
@@ -44,9 +73,6 @@ def fit_ranker(
     trees up to the best round. Each boosting round is a distributed job; both tables
     should be stored ones.
     """
-    assembler = VectorAssembler(
-        inputCols=settings.features, outputCol=VECTOR, handleInvalid="keep"
-    )
     values = {"maxIter": settings.iterations, "seed": settings.random_state, **(params or {})}
     if val is not None:
         values = {"validationTol": 0.0, **values, "validationIndicatorCol": VALIDATION}
@@ -54,7 +80,7 @@ def fit_ranker(
             val.withColumn(VALIDATION, F.lit(True))
         )
     trees = GBTClassifier(featuresCol=VECTOR, labelCol=settings.label, **values)
-    return Pipeline(stages=[assembler, trees]).fit(train)
+    return Pipeline(stages=[*feature_stages(settings.features), trees]).fit(train)
 
 
 def trees_of(model: PipelineModel) -> GBTClassificationModel:
@@ -62,11 +88,12 @@ def trees_of(model: PipelineModel) -> GBTClassificationModel:
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "pred") -> DataFrame:
-    """Add the probability of label 1."""
+    """Add the probability of label 1, or a listwise model's margin."""
     scored = model.transform(df)
-    return scored.withColumn(out, F.get(vector_to_array("probability"), F.lit(1))).select(
-        *[c for c in df.columns if c != out], out
-    )
+    value = F.col("prediction")
+    if isinstance(trees_of(model), GBTClassificationModel):
+        value = F.get(vector_to_array("probability"), F.lit(1))
+    return scored.withColumn(out, value).select(*[c for c in df.columns if c != out], out)
 
 
 def evaluate_model(model: PipelineModel, df: DataFrame, settings: ModelSettings) -> DataFrame:
@@ -89,22 +116,17 @@ def evaluate_against_default(
 
 
 def learning_curve(model: PipelineModel, train: DataFrame, val: DataFrame) -> DataFrame:
-    """``iteration, train_loss, val_loss`` after each boosting round."""
-    assembler, trees = model.stages[0], trees_of(model)
-    losses = {
-        name: trees.evaluateEachIteration(
-            assembler.transform(df).withColumn(
-                trees.getLabelCol(), F.col(trees.getLabelCol()).cast("double")
-            )
-        )
-        for name, df in (("train", train), ("val", val))
-    }
-    rows = [
-        (i + 1, float(a), float(b))
-        for i, (a, b) in enumerate(zip(losses["train"], losses["val"], strict=True))
-    ]
-    return train.sparkSession.createDataFrame(
-        rows, "iteration INT, train_loss DOUBLE, val_loss DOUBLE"
+    """``iteration, train_loss, val_loss`` after each boosting round, from one pass."""
+    names, label = feature_names_of(model), trees_of(model).getLabelCol()
+    rows = train.select(*names, label, F.lit(False).alias(VALIDATION)).unionByName(
+        val.select(*names, label, F.lit(True).alias(VALIDATION))
+    )
+    made = staged_margins(trees_of(model), with_vectors(model.stages[:-1], rows))
+    staged = by_round(made.select(label, VALIDATION, "margins"))
+    loss = logistic_loss(F.col(label), F.col("margin"))
+    return staged.groupBy("iteration").agg(
+        F.avg(F.when(~F.col(VALIDATION), loss)).alias("train_loss"),
+        F.avg(F.when(F.col(VALIDATION), loss)).alias("val_loss"),
     )
 
 

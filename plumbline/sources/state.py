@@ -38,10 +38,24 @@ def shared_folder(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stored"
 
 
+def working_folder(spark: SparkSession) -> str:
+    """Where stored copies go: the innermost open :func:`scratch`, or the shared folder."""
+    return _open_scratch[-1] if _open_scratch else shared_folder(spark)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A stored copy of ``df`` in the shared folder, so that passes over it start there."""
-    folder = _open_scratch[-1] if _open_scratch else shared_folder(df.sparkSession)
-    path = f"{folder}/plumbline-{uuid.uuid4().hex}"
+    path = f"{working_folder(df.sparkSession)}/plumbline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -55,5 +69,4 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open_scratch.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
