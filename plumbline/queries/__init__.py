@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.queries import drift, interactions, jobs, models, profile, ranking
+from plumbline.queries import drift, interactions, jobs, listwise, models, profile, ranking
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (profile, drift, interactions, ranking, jobs, models)
+_MODULES = (profile, drift, interactions, ranking, jobs, models, listwise)
 
 
 def all_queries() -> dict[str, Query]:
