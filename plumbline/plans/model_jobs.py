@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.models.boosting import fit_listwise
+from plumbline.models.parzen import ParzenSampler
 from plumbline.models.ranker import (
     evaluate_against_default,
     fit_default,
@@ -15,7 +17,7 @@ from plumbline.models.ranker import (
     save_model,
     score_top_k,
 )
-from plumbline.models.search import SearchResult, search
+from plumbline.models.search import LISTWISE_SPACE, SearchResult, listwise_objective, search
 from plumbline.plans.data_jobs import (
     Datasets,
     build_inference_features,
@@ -32,6 +34,7 @@ from plumbline.sources.datasets import (
     write,
     write_metric_csv,
 )
+from plumbline.sources.state import cut_lineage
 
 
 def train_models(
@@ -39,10 +42,21 @@ def train_models(
 ) -> SearchResult:
     """Search on train / val, then fit the best and the default model on both."""
     train, val = read(spark, data["train"]), read(spark, data["val"])
-    result = search(train, val, settings, log_path=f"{artefacts}/trials")
-    best = refit_on_all(train, val, settings, result.best_params, result.best_iteration)
+    log = f"{artefacts}/trials"
+    if settings.fitted_to == "listwise":
+        sampler = ParzenSampler(LISTWISE_SPACE, settings.random_state)
+        objective = listwise_objective(settings)
+        result = search(train, val, settings, log_path=log, objective=objective, sampler=sampler)
+        both = cut_lineage(train.unionByName(val))
+        chosen = {**result.best_params, "maxIter": result.best_iteration}
+        best = fit_listwise(both, settings, chosen).model
+        default = fit_listwise(both, settings).model
+    else:
+        result = search(train, val, settings, log_path=log)
+        best = refit_on_all(train, val, settings, result.best_params, result.best_iteration)
+        default = fit_default(train, val, settings)
     save_model(best, f"{artefacts}/best_model")
-    save_model(fit_default(train, val, settings), f"{artefacts}/default_model")
+    save_model(default, f"{artefacts}/default_model")
     return result
 
 
@@ -95,13 +109,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--artefacts", required=True)
     parser.add_argument("--trials", type=int, default=ModelSettings().n_trials)
     parser.add_argument("--iterations", type=int, default=ModelSettings().iterations)
+    parser.add_argument("--fitted-to", choices=["pointwise", "listwise"], default="pointwise")
     args = parser.parse_args(argv)
 
     spark = build_session("plumbline-" + args.job)
     training = training_datasets(args.training_root)
     inference = inference_datasets(args.inference_root)
     processing = ProcessingSettings()
-    model = ModelSettings(n_trials=args.trials, iterations=args.iterations)
+    model = ModelSettings(
+        n_trials=args.trials, iterations=args.iterations, fitted_to=args.fitted_to
+    )
     state = f"{args.artefacts}/features"
     if args.job == "process-training":
         process_training_data(spark, training, processing).show()

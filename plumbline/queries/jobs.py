@@ -18,6 +18,7 @@ from plumbline.queries.tables import SALES_SQL, rounded, sales, table
 from plumbline.settings import ProcessingSettings
 from plumbline.sources.datasets import RAW_MOVIES, delimited, read, training_datasets, write
 from plumbline.sources.state import load_settings, load_table, save_state, shared_folder
+from plumbline.sources.trials import append_trials, read_trials
 
 
 def _folder(spark) -> str:
@@ -98,10 +99,34 @@ def label_profile_rate(spark, d):
     return rounded(profiles.label_profile(sales(spark, d), "target", "month")["rate"], "rate")
 
 
+def trial_log(spark, d):
+    """Months as trials of a run per return flag; some are logged twice and stay one row."""
+    path = _folder(spark)
+    means = sales(spark, d).groupBy("l_returnflag", F.substring("month", 1, 4).alias("year")).agg(
+        F.avg("l_quantity").alias("metric"), F.count(F.lit(1)).cast("int").alias("n")
+    )
+    logged = means.select(
+        F.concat(F.lit("run "), "l_returnflag").alias("run"),
+        F.col("year").cast("int").alias("trial"),
+        F.create_map(F.lit("year"), "year").alias("params"),
+        F.lit("mean_quantity").alias("metric_name"),
+        "metric",
+        F.lit(0.0).alias("training_time"),
+        F.col("n").alias("best_iteration"),
+    )
+    append_trials(logged.withColumn("metric", F.lit(-1.0)).where("trial % 2 = 0"), path)
+    append_trials(logged, path)
+    append_trials(logged.where("trial % 3 = 0"), path)
+    back = read_trials(spark, path)
+    year = F.col("params")["year"].alias("year")
+    return rounded(back.select("run", "trial", year, "metric_name", "metric", "best_iteration"), "metric")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         delimited_text,
+        trial_log,
         movies_with_year,
         encoders_from_state,
         training_job_labels,
@@ -116,6 +141,11 @@ _MOVIES = """WITH movies AS (
     p_type AS genres, (p_size + 1950)::VARCHAR AS year FROM part)"""
 
 SQL = {
+    "trial_log": f"""WITH {SALES_SQL}
+SELECT 'run ' || l_returnflag AS run, month[1:4]::INT AS trial, month[1:4] AS year,
+  'mean_quantity' AS metric_name, round(avg(l_quantity), 6) AS metric,
+  count(*)::INT AS best_iteration
+FROM sales GROUP BY l_returnflag, month[1:4]""",
     "delimited_text": f"{_MOVIES} SELECT movie_id, title, genres FROM movies",
     "movies_with_year": f"{_MOVIES} SELECT movie_id, title, year FROM movies",
     "encoders_from_state": """

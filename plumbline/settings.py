@@ -31,6 +31,8 @@ class ModelSettings:
     label: str = "label"
     qid: str = "qid"
     item: str = "movie_id"
+    #: ``pointwise`` or ``listwise``: what the ranker is fitted to.
+    fitted_to: str = "pointwise"
     metric: str = "ndcg"
     metric_k: int = 5
     list_k: tuple[int, ...] = (1, 2, 3, 4, 5)
