@@ -22,6 +22,9 @@ UNDETERMINED = "und"
 #: A text adds its trigrams' shares in these units, so sums are whole numbers.
 UNITS = 1 << 16
 _SLICE = 1 << 19
+#: Texts, and trigrams, that are worked on together.
+_TEXTS = 512
+_AT_ONCE = 2048
 
 _worker: dict = {}
 
@@ -47,8 +50,15 @@ def _vector(letter: int) -> np.ndarray:
     return known[letter]
 
 
-def _trigrams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """How often each text has each trigram of the slice, and the trigrams' vectors.
+def _parts(column: pa.Array) -> Iterator[Texts]:
+    """Slices of a bounded number of texts and of bytes, or of one text."""
+    for at in range(0, len(column), _TEXTS):
+        for part in slices(column.slice(at, _TEXTS), _SLICE):
+            yield Texts(part.data, part.offsets, at + part.first)
+
+
+def _codes(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text and code of every trigram, and the letters that the codes count in.
 
     Runs of other characters are one gap; a text starts and ends with a gap.
     """
@@ -69,26 +79,47 @@ def _trigrams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
     used = np.unique(letters)
     code = np.searchsorted(used, letters)
     if len(code) < 3 or len(used) < 2:
-        return np.zeros((n, 0), np.float32), np.zeros((0, DIMENSIONS), np.float32)
-    size = len(used)
+        return np.empty(0, np.int64), np.empty(0, np.int64), used
     middle = owner[1:-1]
-    triple = (code[:-2] * size + code[1:-1]) * size + code[2:]
+    triple = (code[:-2] * len(used) + code[1:-1]) * len(used) + code[2:]
     # A trigram lies in its middle letter's text, or ends with the gap after that text.
     inside = (owner[:-2] == middle) & ((owner[2:] == middle) | (letters[2:] == 0))
-    triple, middle = triple[inside], middle[inside]
-    found, index = np.unique(triple, return_inverse=True)
-    counts = np.bincount(middle * len(found) + index, minlength=n * len(found))
-    counts = counts.reshape(n, len(found)).astype(np.float32)
-    base = np.stack([_vector(int(x)) for x in used])
-    vectors = np.roll(base, 2, axis=1)[found // (size * size)]
-    vectors = vectors * np.roll(base, 1, axis=1)[found // size % size] * base[found % size]
-    return counts, vectors.astype(np.float32)
+    return middle[inside], triple[inside], used
+
+
+def _trigrams(part: Texts) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """The number of trigrams of each text; and, for some trigrams at a time, how often each
+    text has them, and their vectors. Memory does not follow the number of trigrams."""
+    n = len(part)
+    owner, triple, used = _codes(part)
+    total = np.bincount(owner, minlength=n)
+
+    def some() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len(triple) == 0:
+            return
+        found, index = np.unique(triple, return_inverse=True)
+        order = np.argsort(index, kind="stable")
+        size = len(used)
+        letters = np.stack([_vector(int(x)) for x in used])
+        for at in range(0, len(found), _AT_ONCE):
+            lo, hi = np.searchsorted(index, [at, at + _AT_ONCE], sorter=order)
+            held, own = found[at : at + _AT_ONCE], order[lo:hi]
+            cell = owner[own] * len(held) + index[own] - at
+            counts = np.bincount(cell, minlength=n * len(held)).reshape(n, len(held))
+            vectors = np.roll(letters[held // (size * size)], 2, axis=1)
+            vectors = vectors * np.roll(letters[held // size % size], 1, axis=1) * letters[held % size]
+            yield counts.astype(np.float32), vectors.astype(np.float32)
+
+    return total, some()
 
 
 def profiles(part: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The bundled vector of each text, and its number of trigrams (0: no letter)."""
-    counts, vectors = _trigrams(part)
-    return counts @ vectors, counts.sum(axis=1)
+    total, some = _trigrams(part)
+    bundle = np.zeros((len(part), DIMENSIONS), np.float32)
+    for counts, vectors in some:
+        bundle += counts @ vectors
+    return bundle, total
 
 
 def train(
@@ -104,15 +135,16 @@ def train(
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             labels = batch.column(1).to_pylist()
-            for part in slices(batch.column(0), _SLICE):
-                counts, vectors = _trigrams(part)
-                total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-                share = np.rint(counts * (UNITS / total)).astype(np.float64)
-                own = labels[part.first : part.first + len(part)]
-                for name in set(own):
-                    mine = np.array([x == name for x in own])
-                    made = share[mine].sum(axis=0) @ vectors.astype(np.float64)
-                    sums[name] = sums.get(name, 0) + made.astype(np.int64)
+            for part in _parts(batch.column(0)):
+                total, some = _trigrams(part)
+                units = (UNITS / np.maximum(total, 1).astype(np.float32))[:, None]
+                own = np.array(labels[part.first : part.first + len(part)], object)
+                masks = {name: own == name for name in set(own)}
+                for counts, vectors in some:
+                    share = np.rint(counts * units)
+                    for name, mine in masks.items():
+                        made = share[mine].sum(axis=0, dtype=np.float64) @ vectors.astype(np.float64)
+                        sums[name] = sums.get(name, 0) + made.astype(np.int64)
         for name, made in sums.items():
             yield pa.RecordBatch.from_pydict(
                 {
@@ -156,7 +188,7 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores = [], []
-            for part in slices(batch.column(batch.num_columns - 1), _SLICE):
+            for part in _parts(batch.column(batch.num_columns - 1)):
                 bundle, n = profiles(part)
                 if not languages:
                     names += [UNDETERMINED] * len(part)

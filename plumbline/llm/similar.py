@@ -14,6 +14,8 @@ SIMILARITY = 0.8
 #: A group is checked in pairs of blocks of about this many sets and values.
 BLOCK_SETS = 1024
 BLOCK_VALUES = 1 << 20
+#: Common values and pairs that are counted together.
+AT_ONCE = 1 << 18
 
 _FACTORS = np.random.default_rng(1729).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -87,7 +89,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]):
         lo, hi = np.searchsorted(values, x, "left"), np.searchsorted(values, x, "right")
         held.append((lo, hi))
         cost += int((hi - lo).sum())
-        if cost > 1 << 21 or (k + 1 - at) * len(right) > 1 << 21 or k == len(left) - 1:
+        if cost > AT_ONCE or (k + 1 - at) * len(right) > AT_ONCE or k == len(left) - 1:
             lo = np.concatenate([h[0] for h in held])
             n = np.concatenate([h[1] for h in held]) - lo
             row = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -205,7 +206,7 @@ def test_language_edges(spark, odd):
 def test_trigrams_by_brute_force():
     texts = ["Ab, c!", "", "  ÉÀ--é", "123", "x"]
     part = next(bytetext.slices(pa.array(texts)))
-    counts, vectors = hyperlang._trigrams(part)
+    bundle, _ = hyperlang.profiles(part)
     for k, text in enumerate(texts):
         letters = [0]
         for c in text:
@@ -218,4 +219,41 @@ def test_trigrams_by_brute_force():
         for a, b, c in zip(letters, letters[1:], letters[2:], strict=False):
             v = np.roll(hyperlang._vector(a), 2).astype(int) * np.roll(hyperlang._vector(b), 1)
             total += v * hyperlang._vector(c)
-        assert np.array_equal(counts[k] @ vectors, total), text
+        assert np.array_equal(bundle[k], total), text
+
+
+def peak_of(work):
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+@pytest.mark.parametrize("kind", ["short", "wide", "long"])
+def test_language_memory_is_bounded(kind):
+    pick = np.random.default_rng(3)
+    if kind == "short":
+        texts = ["".join(map(chr, pick.integers(97, 123, 40))) for _ in range(10_000)]
+    else:
+        n = 174_000 if kind == "wide" else 1_000_000
+        texts = ["".join(map(chr, pick.integers(0x4E00, 0x4E00 + 5000, n)))]
+    column = pa.array(texts)
+    hyperlang._letters()
+
+    def work():
+        for part in hyperlang._parts(column):
+            hyperlang.profiles(part)
+
+    assert peak_of(work) < 300
+
+
+def test_language_by_parts_is_the_same(monkeypatch):
+    texts = ["Ab, c! " * 50, "", "éàü 漢字かな " * 9, "123", "x", *[f"t{i} ab" for i in range(40)]]
+    whole = [hyperlang.profiles(p) for p in hyperlang._parts(pa.array(texts))]
+    monkeypatch.setattr(hyperlang, "_AT_ONCE", 3)
+    monkeypatch.setattr(hyperlang, "_TEXTS", 4)
+    parts = [hyperlang.profiles(p) for p in hyperlang._parts(pa.array(texts))]
+    assert len(parts) > len(whole) == 1
+    for k in (0, 1):
+        assert np.array_equal(np.concatenate([p[k] for p in parts]), whole[0][k])

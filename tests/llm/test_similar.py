@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,3 +276,35 @@ def test_pipeline_edges(spark):
             (4, "plain words here", "en", 16), (5, "mail <email> now", "en", 16), (None, "a letter", "en", 8)
         ], key=str))
         assert corpus_pipeline.STAGES[-1][1](spark, now, SF_DIR).count() == len(got)
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first()["text"]
+    text = "some words that are found twice in this table of rows"
+    rows = [(1, text), (7, text), (7, "a text that is found nowhere else in the table"), (None, "before " + item), (None, "nothing to see here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    left = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
+    clean = corpus_pipeline.without_benchmark(spark, docs, SF_DIR)
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([*rows[:3], rows[4]], key=str)
+
+
+def test_pairs_of_blocks_take_bounded_memory():
+    import tracemalloc
+
+    from plumbline.llm import similar
+
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 62, 1000, dtype=np.uint64)
+    sets = []
+    for _ in range(1024):
+        changed = base.copy()
+        changed[rng.integers(0, 1000, 50)] = rng.integers(0, 1 << 62, 50, dtype=np.uint64)
+        sets.append(np.unique(changed))
+    tracemalloc.start()
+    seen = sum(len(counts) for _, counts in similar._overlaps(sets, sets))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert seen == 1024 and peak < 110
