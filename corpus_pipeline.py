@@ -15,38 +15,45 @@ from plumbline.llm import chosen_path, decontamination, hyperlang, pieces, pii
 from plumbline.llm.storage import Stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Least cosine with a language; junk in a known language stays far above it.
-MIN_COSINE = 0.02
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters or like no language; fill in a NULL ``lang``."""
+    """Drop documents whose language cannot be told: those without letters, and all where no
+    labelled row teaches a language. Fill in a NULL ``lang``."""
     languages, prototypes = hyperlang.train(docs)
     told = hyperlang.predict(docs, languages, prototypes, keep=COLUMNS)
-    return told.where(
-        (F.col("lang_pred") != hyperlang.UNDETERMINED) & (F.col("score") >= MIN_COSINE)
-    ).select(
+    return told.where(F.col("lang_pred") != hyperlang.UNDETERMINED).select(
         "doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars"
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number of their own: ids may be NULL, or repeated with another text.
+
+    ``docs`` is a stored table, whose rows get the same numbers whenever it is read.
+    """
+    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each class of near copies.
+    """Keep the first row of each class of near copies.
 
-    Documents go by their id, of rows repeated as a whole one stays, and a row without
-    an id stays.
+    A row is judged by its own text, whatever rows share its id. Of rows with the same id
+    and text one stays, also without words.
     """
-    told = chosen_path.similar_documents(docs)
-    gone = told.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    rows = _numbered(docs)
+    told = chosen_path.similar_documents(rows, id="row")
+    gone = told.where(F.col("class_id") != F.col("row")).select("row")
+    kept = rows.join(gone, "row", "left_anti").select(*COLUMNS)
     return kept.dropDuplicates(["doc_id", "text"])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
+    """Drop documents that hold a passage of the benchmark, each row by its own text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.contaminated(docs, benchmark)
-    return docs.select(*COLUMNS).join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    rows = _numbered(docs)
+    found = decontamination.contaminated(rows, benchmark, id="row")
+    return rows.join(found.select("row").distinct(), "row", "left_anti").select(*COLUMNS)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
