@@ -33,6 +33,7 @@ from plumbline.llm.similar import (
     set_key,
 )
 from plumbline.llm.storage import Stored
+from plumbline.llm.workers import lean
 
 #: Values in an embedding. Pairs that agree in fewer than CLOSE of them are no candidates:
 #: a pair at the threshold does so with a probability of about one in a million.
@@ -81,7 +82,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, key LONG, size INT, embedding BINARY")
+    return docs.mapInArrow(lean(run), f"id {kind}, key LONG, size INT, embedding BINARY")
 
 
 def _follow(nodes: DataFrame, level: int) -> DataFrame:
@@ -103,7 +104,7 @@ def _follow(nodes: DataFrame, level: int) -> DataFrame:
                     names=["node", "key"],
                 )
 
-    return nodes.select("node", "key", "embedding").mapInArrow(run, "node LONG, key LONG")
+    return nodes.select("node", "key", "embedding").mapInArrow(lean(run), "node LONG, key LONG")
 
 
 def _near_pairs(rows: DataFrame, by: list[str], blocks: bool) -> DataFrame:
@@ -191,7 +192,7 @@ def _values(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     names=["key", "values", "size", "weight", "group"],
                 )
 
-    made = rows.mapInArrow(run, "key LONG, values BINARY, size INT, weight LONG, group LONG")
+    made = rows.mapInArrow(lean(run), "key LONG, values BINARY, size INT, weight LONG, group LONG")
     return made.groupBy("group", "key").agg(
         F.first("values").alias("values"), F.first("size").alias("size"), F.first("weight").alias("weight")
     )

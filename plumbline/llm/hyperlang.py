@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.bytetext import Texts, slices
+from plumbline.llm.workers import lean
 
 DIMENSIONS = 1024
 UNDETERMINED = "und"
@@ -24,7 +25,7 @@ UNITS = 1 << 16
 _SLICE = 1 << 19
 #: Texts, and trigrams, that are worked on together.
 _TEXTS = 512
-_AT_ONCE = 2048
+_AT_ONCE = 4096
 
 _worker: dict = {}
 
@@ -97,14 +98,16 @@ def _trigrams(part: Texts) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.nd
     def some() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if len(triple) == 0:
             return
-        found, index = np.unique(triple, return_inverse=True)
-        order = np.argsort(index, kind="stable")
+        order = np.argsort(triple, kind="stable")
+        ordered, holder = triple[order], owner[order]
+        new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+        found, index = ordered[new], np.cumsum(new) - 1
         size = len(used)
         letters = np.stack([_vector(int(x)) for x in used])
         for at in range(0, len(found), _AT_ONCE):
-            lo, hi = np.searchsorted(index, [at, at + _AT_ONCE], sorter=order)
-            held, own = found[at : at + _AT_ONCE], order[lo:hi]
-            cell = owner[own] * len(held) + index[own] - at
+            lo, hi = np.searchsorted(index, [at, at + _AT_ONCE])
+            held = found[at : at + _AT_ONCE]
+            cell = holder[lo:hi] * len(held) + index[lo:hi] - at
             counts = np.bincount(cell, minlength=n * len(held)).reshape(n, len(held))
             vectors = np.roll(letters[held // (size * size)], 2, axis=1)
             vectors = vectors * np.roll(letters[held // size % size], 1, axis=1) * letters[held % size]
@@ -158,7 +161,7 @@ def train(
         F.coalesce(text, F.lit("")).alias("t"), F.col(lang).alias("lang")
     )
     table = (
-        rows.mapInArrow(run, "lang STRING, dim INT, v LONG")
+        rows.mapInArrow(lean(run), "lang STRING, dim INT, v LONG")
         .groupBy("lang", "dim")
         .agg(F.sum("v").alias("v"))
         .orderBy("lang", "dim")
@@ -212,4 +215,4 @@ def predict(
 
     rows = docs.select(*keep, F.coalesce(text, F.lit("")).alias("__text"))
     kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
-    return rows.mapInArrow(run, ", ".join([*kinds, "lang_pred STRING", "score DOUBLE"]))
+    return rows.mapInArrow(lean(run), ", ".join([*kinds, "lang_pred STRING", "score DOUBLE"]))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.token_counts import groups_of
+from plumbline.llm.workers import lean, parts_of
 
 MARK = "▁"
 TABLE_ENTRIES = 400_000
@@ -117,7 +118,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _segmenter(path, entries)
-        for batch in batches:
+        for batch in parts_of(batches):
             at = 0
             for group in groups_of(batch.column(batch.num_columns - 1).to_pylist()):
                 made: list[tuple] = []
@@ -147,7 +148,7 @@ def encode(
 
     rows = docs.select(*keep, F.coalesce(text, F.lit("")).alias("__text"))
     kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
-    return rows.mapInArrow(run, ", ".join([*kinds, *[f"{n} {sql}" for n, _, sql in fields]]))
+    return rows.mapInArrow(lean(run), ", ".join([*kinds, *[f"{n} {sql}" for n, _, sql in fields]]))
 
 
 def decode(
