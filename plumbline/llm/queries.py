@@ -21,6 +21,7 @@ from plumbline.llm import (
     pieces,
     pii,
     quality,
+    segments,
     token_counts,
     variants,
 )
@@ -109,7 +110,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    """Whole lines, and passages inside and across lines, whose ``line`` is NULL."""
+    docs = table(spark, sf_dir, "documents")
+    lines = paragraphs.repeated_paragraphs(docs)
+    passages = segments.repeated_segments(docs).withColumn("line", F.lit(None).cast("int"))
+    return lines.unionByName(passages.select(*lines.columns))
 
 
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
