@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.bytetext import _BASE, _BASE_INVERSE, Texts, _power, mix, slices, words
 from plumbline.llm.paragraphs import _points
 from plumbline.llm.storage import Stored
-from plumbline.llm.workers import lean
+from plumbline.llm.workers import lean, parts_of
 
 #: A word is cut before if its hash is the smallest of so many words on either side.
 AROUND = 4
@@ -92,37 +92,40 @@ def _grown(rows: DataFrame, min_words: int) -> DataFrame:
     """Passages of each text from its units that are found again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
+            texts: list[int] = []
+            made: list[tuple] = []
             for k in range(batch.num_rows):
-                steps = np.frombuffer(batch.column(2)[k].as_py(), "<i4").reshape(-1, 4)
-                first, start = np.cumsum(steps[:, 0]), np.cumsum(steps[:, 2])
-                past, end = first + steps[:, 1], start + steps[:, 3]
-                hits = batch.column(3)[k].as_py()
-                unit = np.array([h["unit"] for h in hits])
-                key = np.array([h["key"] for h in hits], np.int64)
-                new = np.array([h["new"] for h in hits])
-                # Units overlap by a segment: a gap of one unit leaves no word between.
-                open_ = np.flatnonzero(np.diff(unit, prepend=-9) > 2)
-                close = np.append(open_[1:], len(unit)) - 1
-                long = past[unit[close]] - first[unit[open_]] >= min_words
-                open_, close = open_[long], close[long]
-                m = len(open_)
-                if not m:
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array([k] * m)),
-                        pa.array(start[unit[open_]].astype(np.int32)),
-                        pa.array(end[unit[close]].astype(np.int32)),
-                        pa.array((past[unit[close]] - first[unit[open_]]).astype(np.int32)),
-                        pa.array([int(key[a : b + 1].min()) for a, b in zip(open_, close, strict=True)], pa.int64()),
-                        pa.array([not new[a : b + 1].any() for a, b in zip(open_, close, strict=True)]),
-                    ],
-                    names=["id", "start", "end", "n_words", "class_key", "removed"],
-                )
+                found = grown(batch.column(1)[k].as_py(), batch.column(2)[k].as_py())
+                made += found
+                texts += [k] * len(found)
+            columns = zip(*made, strict=True) if made else [[]] * 5
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(texts, pa.int64())),
+                    *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                ],
+                names=["id", "start", "end", "n_words", "class_key", "removed"],
+            )
+
+    def grown(places: bytes, hits: list[dict]) -> list[tuple]:
+        steps = np.frombuffer(places, "<i4").reshape(-1, 4)
+        first, start = np.cumsum(steps[:, 0]), np.cumsum(steps[:, 2])
+        past, end = first + steps[:, 1], start + steps[:, 3]
+        unit = np.array([h["unit"] for h in hits])
+        # Units overlap by a segment: a gap of one unit leaves no word between.
+        cuts = np.flatnonzero(np.diff(unit) > 2) + 1
+        made = []
+        for a, b in zip([0, *cuts], [*cuts, len(hits)], strict=True):
+            u, v, own = unit[a], unit[b - 1], hits[a:b]
+            if past[v] - first[u] >= min_words:
+                key, new = min(h["key"] for h in own), any(h["new"] for h in own)
+                made.append((int(start[u]), int(end[v]), int(past[v] - first[u]), key, not new))
+        return made
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "row", "places", "hits").mapInArrow(
+    return rows.select("id", "places", "hits").mapInArrow(
         lean(run),
         f"id {kind}, start INT, end INT, n_words INT, class_key LONG, removed BOOLEAN",
     )
