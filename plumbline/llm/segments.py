@@ -3,7 +3,7 @@
 Texts are cut before words whose hash is the smallest of the words around them, so a
 passage is cut alike wherever it stands, but for its two ends. Two segments in a row
 are one unit, told by the hash of its words: units are so short that word n-grams at a
-similarity of 0.8 leave room for hardly any other text. Units found in one place only
+similarity of 0.8 leave room for hardly any other text. Units found in one text only
 are left out; neighbouring units that are left grow together to passages.
 """
 
@@ -138,7 +138,7 @@ def repeated_segments(
     around: int = AROUND,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
-    """Every passage whose units are all found in another place too.
+    """Every passage whose units are all found in other texts too.
 
     Columns: ``id``, ``start`` and ``end`` (code points of its first and behind its last whole
     unit; the passage itself may reach a segment further), ``n_words``, ``class_key`` (the
@@ -146,10 +146,10 @@ def repeated_segments(
     class) and ``removed``: whether all its units stand in an earlier row or place, so
     that cutting it out loses no unit.
 
-    Words are split at ASCII white space and compared in lower-case A-Z. A passage may lie
-    in one text twice. NULL and short texts have no units; a repeated row repeats its
-    passages. Keys are counted before anything else travels, and texts are not compared
-    in pairs. Stores texts' keys, the repeated ones, and passages in the shared folder.
+    Words are split at ASCII white space and compared in lower-case A-Z. What one text alone
+    repeats is left out. NULL and short texts have no units; a repeated row repeats its
+    passages. Keys alone are gathered before anything else travels, and texts are not
+    compared in pairs. Stores texts' keys, the repeated ones, and passages in the shared folder.
     """
     rows = docs.select(
         F.col(id).alias("id"),
@@ -158,9 +158,8 @@ def repeated_segments(
     )
     placed = Stored(_placed(rows, around)).frame
     units = placed.select("row", F.posexplode("keys").alias("unit", "key"))
-    often = Stored(
-        units.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    ).frame
+    ends = units.groupBy("key").agg(F.min("row").alias("least"), F.max("row").alias("last"))
+    often = Stored(ends.where("least < last").select("key")).frame
     hits = Stored(units.join(often, "key")).frame
     # The first place of a key is a minimum; a key found everywhere is split in the join.
     first = Stored(hits.groupBy("key").agg(F.min(F.struct("row", "unit")).alias("first"))).frame
