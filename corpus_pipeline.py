@@ -44,8 +44,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs)
     told = chosen_path.similar_documents(rows, id="row")
     gone = told.where(F.col("class_id") != F.col("row")).select("row")
-    kept = rows.join(gone, "row", "left_anti").select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id", "text"])
+    # Texts without words are in no class.
+    worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = rows.where(worded).join(gone, "row", "left_anti").select(*COLUMNS)
+    wordless = rows.where(~worded).select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return kept.union(wordless)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
