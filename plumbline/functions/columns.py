@@ -96,5 +96,41 @@ def hash_number(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+_ESCAPES = (
+    r"(?:\\u[0-9a-fA-F]{4})+|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}|\\[0-7]{1,3}"
+    r"|\\[abfnrtv\\'\"]|[^\\]+|\\"
+)
+# What a backslash and a letter stand for.
+_NAMED = {"a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13, "\\": 92, "'": 39, '"': 34}
+
+
+def decode_escapes(column: Column | str) -> Column:
+    """Text with backslash escapes turned into their characters.
+
+    ``\\xhh``, ``\\uhhhh`` (pairs of surrogates too), ``\\Uhhhhhhhh``, one to three octal digits, and
+    the named ones; any other backslash stays as it is.
+    """
+    text = _col(column)
+
+    def character(part: Column) -> Column:
+        def of(hexadecimal: Column, encoding: str) -> Column:
+            return F.decode(F.unhex(hexadecimal), encoding)
+
+        octal = F.conv(F.substring(part, 2, 3), 8, 16)
+        made = (
+            F.when(part.startswith("\\u"), of(F.replace(part, F.lit("\\u"), F.lit("")), "UTF-16BE"))
+            .when(part.startswith("\\U"), of(F.substring(part, 3, 8), "UTF-32"))
+            .when(part.startswith("\\x"), of(F.concat(F.lit("00"), F.substring(part, 3, 2)), "UTF-16BE"))
+            .when(part.rlike(r"^\\[0-7]"), of(F.lpad(octal, 4, "0"), "UTF-16BE"))
+        )
+        for letter, code in _NAMED.items():
+            made = made.when(part == F.lit("\\" + letter), F.lit(chr(code)))
+        return made.otherwise(part)
+
+    parts = F.regexp_extract_all(text, F.lit(_ESCAPES), F.lit(0))
+    decoded = F.array_join(F.transform(parts, character), "")
+    return F.when(F.contains(text, F.lit("\\")), decoded).otherwise(text)
+
+
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column

@@ -6,11 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.queries import drift, interactions, jobs, listwise, models, profile, ranking
+from plumbline.queries import (
+    drift,
+    interactions,
+    jobs,
+    listwise,
+    models,
+    profile,
+    ranking,
+    wide,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (profile, drift, interactions, ranking, jobs, models, listwise)
+_MODULES = (profile, drift, interactions, ranking, jobs, models, listwise, wide)
 
 
 def all_queries() -> dict[str, Query]:

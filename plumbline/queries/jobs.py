@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import epoch_seconds
@@ -61,6 +62,32 @@ def encoders_from_state(spark, d):
     return rounded(categories.transform(scaler.transform(df)), "c_acctbal")
 
 
+def encoders_in_pipeline(spark, d):
+    """A pipeline of scaler and categories: fitted, saved, loaded and applied."""
+    df = table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    folder = _folder(spark)
+    stages = [StandardScale(["c_acctbal"]), FrequencyEncode(["c_mktsegment"])]
+    Pipeline(stages=stages).write().save(f"{folder}/unfitted")
+    fitted = Pipeline.load(f"{folder}/unfitted").fit(df)
+    fitted.write().save(f"{folder}/fitted")
+    return rounded(PipelineModel.load(f"{folder}/fitted").transform(df), "c_acctbal")
+
+
+def escaped_text(spark, d):
+    """Titles written with escapes for some of their characters, and read back decoded."""
+    path = f"{_folder(spark)}/escaped.dat"
+    escapes = F.create_map(
+        F.lit(0), F.lit(r"\x41"), F.lit(1), F.lit(r"\u00e9"), F.lit(2), F.lit(r"\101"),
+        F.lit(3), F.lit(r"\ud83d\ude00"), F.lit(4), F.lit(r"\\n"), F.lit(5), F.lit(r"\t"),
+        F.lit(6), F.lit(r"\q"), F.lit(7), F.lit("a \"plain\" one"),
+    )
+    parts = table(spark, d, "part")
+    title = F.concat("p_name", F.lit(" "), escapes[F.col("p_partkey").cast("int") % 8])
+    lines = parts.select(F.concat_ws("::", "p_partkey", title, "p_type"))
+    lines.write.text(path)
+    return read(spark, delimited(path, RAW_MOVIES, "ISO-8859-1", escaped=True))
+
+
 def training_job_labels(spark, d):
     """The first job from raw text to labelled ratings, counted by label."""
     data = training_datasets(_folder(spark))
@@ -129,6 +156,8 @@ QUERIES = {
         trial_log,
         movies_with_year,
         encoders_from_state,
+        encoders_in_pipeline,
+        escaped_text,
         training_job_labels,
         feature_summary,
         feature_top_values,
@@ -155,6 +184,10 @@ WITH s AS (
 SELECT c_custkey, round((c_acctbal - m) / d, 6) AS c_acctbal, s.id::INT AS c_mktsegment
 FROM customer JOIN s ON c_mktsegment = s.value,
   (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS d FROM customer)""",
+    "escaped_text": r"""
+SELECT p_partkey AS movie_id, p_name || ' ' ||
+  ['A', 'é', 'A', '😀', '\n', chr(9), '\q', 'a "plain" one'][1 + p_partkey % 8] AS title,
+  p_type AS genres FROM part""",
     "training_job_labels": """
 WITH r AS (
   SELECT o_custkey AS u, l_partkey AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
@@ -177,3 +210,5 @@ FROM sales GROUP BY 1 ORDER BY count DESC, value LIMIT 3""",
     "label_profile_rate": f"""WITH {SALES_SQL}
 SELECT month, round(avg(target), 6) AS rate FROM sales GROUP BY 1""",
 }
+
+SQL["encoders_in_pipeline"] = SQL["encoders_from_state"]

@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
+
+from plumbline.functions.columns import decode_escapes
 
 # Field separator of the raw text files and their columns.
 SEPARATOR = "::"
@@ -24,11 +26,22 @@ class DatasetSpec:
     format: str = "parquet"
     schema: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    #: Whether texts hold backslash escapes that stand for characters.
+    escaped: bool = False
+
 
+def delimited(
+    path: str, schema: str, encoding: str = "UTF-8", escaped: bool = False
+) -> DatasetSpec:
+    """Headerless text with a multi-character separator.
 
-def delimited(path: str, schema: str, encoding: str = "UTF-8") -> DatasetSpec:
-    """Headerless text with a multi-character separator."""
-    return DatasetSpec(path, "csv", schema, {"sep": SEPARATOR, "encoding": encoding})
+    With ``escaped`` a backslash is a character like others to the scan, and escapes are
+    decoded behind it.
+    """
+    options = {"sep": SEPARATOR, "encoding": encoding}
+    if escaped:
+        options |= {"escape": "", "quote": ""}
+    return DatasetSpec(path, "csv", schema, options, escaped)
 
 
 # Fixed values below: folder and file names of the stored tables.
@@ -52,7 +65,7 @@ def _raw(root: str) -> dict[str, DatasetSpec]:
     folder = f"{root}/01_raw_data"
     return {
         "raw_users": delimited(f"{folder}/users.dat", RAW_USERS),
-        "raw_movies": delimited(f"{folder}/movies.dat", RAW_MOVIES, "ISO-8859-1"),
+        "raw_movies": delimited(f"{folder}/movies.dat", RAW_MOVIES, "ISO-8859-1", escaped=True),
         "raw_ratings": delimited(f"{folder}/ratings.dat", RAW_RATINGS),
     }
 
@@ -73,11 +86,21 @@ def _splits(root: str) -> dict[str, DatasetSpec]:
 
 
 def read(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    """Read with the declared schema; float NaN becomes NULL."""
+    """Read with the declared schema; escapes become their characters.
+
+    Stored tables hold no NaN, see :func:`write`, so filters on them reach the files; in
+    raw text NaN becomes NULL here.
+    """
     reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
         reader = reader.schema(spec.schema)
-    return nan_as_null(reader.load(spec.path))
+    df = reader.load(spec.path)
+    if spec.format != "parquet":
+        df = nan_as_null(df)
+    if spec.escaped:
+        texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+        df = df.withColumns({c: decode_escapes(c) for c in texts})
+    return df
 
 
 def nan_as_null(df: DataFrame) -> DataFrame:
@@ -86,7 +109,8 @@ def nan_as_null(df: DataFrame) -> DataFrame:
 
 
 def write(df: DataFrame, spec: DatasetSpec) -> None:
-    df.write.mode("overwrite").format(spec.format).options(**spec.options).save(spec.path)
+    """Replace the table; float NaN is stored as NULL."""
+    nan_as_null(df).write.mode("overwrite").format(spec.format).options(**spec.options).save(spec.path)
 
 
 def written(df: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -255,3 +255,31 @@ def test_profiles(users_df):
     assert edges["histogram"].agg(F.sum("count")).first()[0] == 6040
     category = profiles.categorical_feature(users_df, "gender", ["target"])
     assert category["top"].count() == 2 and category["summary"].first()["categories"] == 2
+
+
+def test_escapes(spark):
+    texts = [r"caf\xe9", "\\u00e9e", "\\ud83d\\ude00!", r"a\tb\\n\101\0", "plain", "", None, r"end\\", r"\q \U0001f600", "\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = {r.i: r.d for r in df.select("i", C.decode_escapes("t").alias("d")).collect()}
+    for i, t in enumerate(texts):
+        if t is None or i in (7, 8, 9):
+            continue
+        expected = t.encode("latin-1").decode("unicode_escape")
+        assert got[i] == expected.encode("utf-16", "surrogatepass").decode("utf-16")
+    assert (got[6], got[7], got[8], got[9]) == (None, "end\\", "\\q \U0001f600", "\\")
+
+
+def test_encoders_are_saved_with_a_pipeline(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from plumbline.operators.encoders import FrequencyEncode, StandardScale
+
+    df = spark.createDataFrame([("a", 1.0), ("b", None), ("b", 3.0), (None, 8.0)], "c STRING, x DOUBLE")
+    pipeline = Pipeline(stages=[StandardScale(["x"]), FrequencyEncode(["c"])])
+    pipeline.write().overwrite().save(str(tmp_path / "p"))
+    fitted = Pipeline.load(str(tmp_path / "p")).fit(df)
+    for _ in range(2):
+        fitted.write().overwrite().save(str(tmp_path / "m"))
+    back = PipelineModel.load(str(tmp_path / "m"))
+    assert [s.uid for s in back.stages] == [s.uid for s in fitted.stages]
+    assert rows(back.transform(df)) == rows(fitted.transform(df)) == rows(pipeline.fit(df).transform(df))

@@ -190,3 +190,36 @@ def test_boxplot_and_outliers(spark):
     box = summaries.boxplot_stats(df, "x").first()
     assert (box["whisker_low"], box["whisker_high"], box["outliers"]) == (1.0, 5.0, 1)
     assert rows(summaries.outliers(df, "x")) == [(100.0,)]
+
+
+def test_many_columns_from_one_read(spark):
+    """The same numbers as column by column, with NULL, NaN, constants and no value at all."""
+    from pyspark.sql import functions as F
+
+    from plumbline.operators import summaries, wide
+
+    df = spark.range(500).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 50).cast("int").alias("a"),
+        F.when(F.col("id") % 5 > 0, F.sqrt("id")).otherwise(float("nan")).alias("b"),
+        F.lit(3).alias("same"),
+        F.lit(None).cast("double").alias("none"),
+        (F.col("id") % 3).alias("t"),
+    )
+    columns = ["a", "b", "same", "none"]
+    cells = wide.value_cells(df, columns, ["t"])
+    got = {r["column"]: r for r in wide.numeric_summaries(df, columns, ["t"], cells).collect()}
+    boxes = {r["column"]: r for r in wide.numeric_boxes(df, columns, cells).collect()}
+    assert set(got) == set(columns) and set(boxes) == {"a", "b", "same"}
+    for c in columns:
+        expected = summaries.numeric_summary(df, c, ["t"]).first()
+        for name in expected.asDict():
+            assert got[c][name] == pytest.approx(expected[name]), (c, name)
+        if c in boxes:
+            box = summaries.boxplot_stats(df, c).first()
+            for name in box.asDict():
+                assert boxes[c][name] == pytest.approx(box[name]), (c, name)
+    bars = wide.numeric_histograms(df, columns, 4, ["t"], cells)
+    assert {r[0]: r[1] for r in bars.groupBy("column").agg(F.sum("count")).collect()} == {
+        c: got[c]["count"] for c in ("a", "b", "same")
+    }
+    assert wide.numeric_summaries(df.limit(0), columns).count() == 0
