@@ -6,11 +6,11 @@ failure arc, weighted with what the arcs leave over, to the root, whose arcs are
 smoothed single words. A text is read once from left to right: the state is carried
 along, an arc or the failure arc is taken, and log-probabilities add up.
 
-The corpus' n-grams are never in one place. N-grams are 56-bit keys, cut into
+The corpus' n-grams are never in one place. N-grams are 64-bit keys, cut into
 buckets by value. Tasks count the keys of their training texts and send, per bucket,
 one packed array of sorted keys and counts; blocks of texts send the distinct keys
-they need in the same way, and each bucket answers every block with counts. From the
-answers a block builds the part of the automaton its texts can reach. Keys of one
+they need in the same way, and each bucket answers every block with counts. The
+answers are the part of the automaton that a block's texts can reach. Keys of one
 frequent word with all its successors are spread over all buckets.
 """
 
@@ -29,7 +29,7 @@ from plumbline.llm.bytetext import mix, slices, words
 BLOCK_BYTES = 6 << 20
 #: Strength of the root's probability inside a state's smoothed arcs.
 PRIOR = 4.0
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 4_000_000
 
 _BEGIN = np.uint64(0x6A09E667F3BCC909)
 _END = np.uint64(0xBB67AE8584CAA73B)
@@ -57,12 +57,12 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 
 def word_key(h: np.ndarray) -> np.ndarray:
-    """Keys have 56 bits; those of single words are odd, those of pairs even."""
-    return mix(h) >> np.uint64(8) | _ONE
+    """Keys have 64 bits; those of single words are odd, those of pairs even."""
+    return mix(h) | _ONE
 
 
 def pair_key(before: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(3) + h + _ONE) >> np.uint64(8) & ~_ONE
+    return mix(before * np.uint64(3) + h + _ONE) & ~_ONE
 
 
 class Stream:
@@ -89,7 +89,7 @@ class Stream:
 
 def _cut(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The non-empty buckets of sorted keys and where each begins, and the end."""
-    bucket = (keys >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     opens = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     if len(keys) == 0:
         opens = np.empty(0, np.int64)
@@ -177,33 +177,31 @@ def totals(train: DataFrame, buckets: int) -> tuple[int, int]:
     return row["n"] or 0, row["v"] or 0
 
 
-class Automaton:
-    """The states that a block of texts can reach, built from the answered counts."""
+def _wanted(s: Stream, inverse: bool) -> tuple[np.ndarray, ...]:
+    """Distinct keys of the words and arcs that a block meets, sorted; and where each
+    token's word, and then its arc, is among them."""
+    keys = np.concatenate((word_key(s.token), pair_key(s.state, s.token)))
+    return np.unique(keys, return_inverse=True) if inverse else (np.unique(keys),)
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, n: int, v: int, prior: float):
-        self.keys, self.counts = keys, counts
-        self.mass, self.prior = n + v + 1, prior
-        # The begin state is entered as often as texts end.
-        self.texts = self._count(word_key(np.array([_END])))[0]
 
-    def _count(self, wanted: np.ndarray) -> np.ndarray:
-        if len(self.keys) == 0:
-            return np.zeros(len(wanted), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.counts[at], 0)
+def read(
+    s: Stream, counts: np.ndarray, place: np.ndarray, n: int, v: int, prior: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log10 weight of the arcs taken at each token, the root's alone, and its count.
 
-    def read(self, s: Stream) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log10 weight of the arcs taken at each token, the root's alone, and its count.
-
-        A state is the last word read, so all steps can be looked up side by side.
-        """
-        seen = self._count(word_key(s.token))
-        root = (seen + 1) / self.mass
-        visits = np.where(s.state == _BEGIN, self.texts, self._count(word_key(s.state)))
-        arc = self._count(pair_key(s.state, s.token))
-        failure = self.prior / (visits + self.prior)
-        step = np.where(arc > 0, arc / (visits + self.prior) + failure * root, failure * root)
-        return np.log10(step), np.log10(root), seen
+    A state is the last word read, so the steps of one pass from left to right are
+    known side by side: the state at a token is entered as often as the token before it
+    was counted, the begin state as often as texts end.
+    """
+    size = len(s.token)
+    seen, arc = counts[place[:size]], counts[place[size:]]
+    root = (seen + 1) / (n + v + 1)
+    visits = np.empty(size, np.int64)
+    visits[1:] = seen[:-1]
+    visits[s.ends - s.sizes] = seen[s.ends - 1]
+    failure = prior / (visits + prior)
+    step = np.where(arc > 0, arc / (visits + prior) + failure * root, failure * root)
+    return np.log10(step), np.log10(root), seen
 
 
 def scores(
@@ -220,7 +218,8 @@ def scores(
     training), ``train_tokens``, ``base_score`` (single words with one added to each
     count) and ``score`` (the automaton's log10 probability). Words are what stands
     between ASCII white space, with A-Z in lower case. NULL is the empty text: its end
-    is its one token. One row per row; texts are shuffled by a hash of ``id``.
+    is its one token. One row per row; texts are shuffled by a hash of
+    ``id`` and text, so rows of one id, or without one, are spread.
 
     Runs two jobs first: the size of all texts, which sets the number of blocks and
     buckets, and the number of tokens and of distinct tokens.
@@ -236,13 +235,13 @@ def scores(
     n, v = totals(train, buckets)
 
     blocked = rows.select(
-        F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("block"), "id", "t"
+        F.pmod(F.xxhash64("id", "t"), F.lit(buckets)).cast("int").alias("block"), "id", "t"
     )
 
     def ask(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         s = Stream(table.column("t").combine_chunks())
-        keys = np.unique(np.concatenate((word_key(s.token), pair_key(s.state, s.token))))
+        (keys,) = _wanted(s, inverse=False)
         bucket, at = _cut(keys, buckets)
         packed = [pack_keys(keys[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
         none = [None] * len(packed)
@@ -268,11 +267,11 @@ def scores(
 
     def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
         s = Stream(texts.column("t").combine_chunks())
-        keys = np.unique(np.concatenate((word_key(s.token), pair_key(s.state, s.token))))
+        _, place = _wanted(s, inverse=True)
         order = np.argsort(np.asarray(replies.column("bucket")), kind="stable")
         packed = replies.column("counts").to_pylist()
         counts = np.concatenate([unpack(packed[i], np.int64) for i in order])
-        step, root, seen = Automaton(keys, counts, n, v, prior).read(s)
+        step, root, seen = read(s, counts, place, n, v, prior)
         opens = s.ends - s.sizes
         return pa.table(
             {
