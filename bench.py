@@ -18,6 +18,7 @@ HEADLINE = (
     "stats_by_category_target",
     "stats_over_time",
     "numeric_summary_targets",
+    "summaries_of_columns",
     "categorical_summary_targets",
     "bins_quantile",
     "target_rates_per_bin",
