@@ -175,7 +175,7 @@ def train(
     """Fit on at most ``sample_rows`` labelled documents, chosen by a hash of their id.
 
     ``labels`` has ``id`` and a 0/1 ``label``; rows with a NULL are left out, of several
-    labels of one id the largest holds. Ids and labels of the sample go to all tasks;
+    labels of one id the largest holds, of several texts the one first by hash. Ids and labels of the sample go to all tasks;
     tasks send back the sample's buckets, on which the driver runs the descent.
     """
     spark = docs.sparkSession
@@ -191,6 +191,12 @@ def train(
     rows = docs.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("t")).join(
         F.broadcast(sample), "id"
     )
+    # One text of each id, so that the sample stays bounded whatever is repeated.
+    rows = (
+        rows.groupBy("id", "y")
+        .agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("first"))
+        .select(F.xxhash64("id", F.lit(11)).alias("place"), "first.t", "y")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,20 +211,16 @@ def train(
                             ends.astype(np.int32), pa.array(bucket.astype(np.int32))
                         ),
                     ],
-                    names=["id", "y", "bucket"],
+                    names=["place", "y", "bucket"],
                 )
 
-    kind = rows.schema["id"].dataType.simpleString()
-    table = (
-        rows.select("id", "t", "y").mapInArrow(run, f"id {kind}, y INT, bucket ARRAY<INT>").toArrow()
-    )
+    table = rows.mapInArrow(run, "place LONG, y INT, bucket ARRAY<INT>").toArrow()
     if table.num_rows == 0:
         return fit([], np.empty(0, int))
-    # A repeated id gives repeated rows: order by content too, so that a fit repeats.
+    # Rows arrive in any order: one by hash of the id and by content makes a fit repeat.
     found = [np.asarray(b.values, np.int64) for b in table.column("bucket")]
-    order = sorted(
-        range(len(found)), key=lambda i: (hash(table.column("id")[i].as_py()), found[i].tobytes())
-    )
+    place = np.asarray(table.column("place"))
+    order = sorted(range(len(found)), key=lambda i: (place[i], found[i].tobytes()))
     y = np.asarray(table.column("y"))
     return fit([found[i] for i in order], y[order])
 

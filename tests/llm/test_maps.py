@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -173,6 +174,18 @@ def test_quality_edges(spark, odd):
     assert quality.score(odd, ones).where("score > 0.5").count() == odd.count()
 
 
+def test_quality_fit_repeats(spark):
+    r = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(f"d{i}", " ".join(r.choice(words[i % 2 * 10 :], 12)), i % 2) for i in range(60)]
+    again = [("d1", "another text of one id", 1)] * 200
+    docs = spark.createDataFrame([*rows, *again], "doc_id STRING, text STRING, quality INT")
+    labels = docs.select("doc_id", "quality")
+    a = quality.train(docs, labels)
+    b = quality.train(docs.orderBy(F.desc("text")).repartition(7), labels)
+    assert np.array_equal(a.weights, b.weights) and (a.bias, a.slope) == (b.bias, b.slope)
+
+
 def test_descent_separates():
     rows = [np.array([i % 2, 10 + i]) for i in range(60)]
     labels = np.array([i % 2 for i in range(60)])
