@@ -19,7 +19,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.binding import let
+from plumbline.llm.binding import let, states
 
 BASE = ("email", "ip", "card", "phone")
 WEAK = ("secret", "account", "contact")
@@ -77,27 +77,25 @@ def matches(text: Column, pattern: str, hint: str) -> Column:
         "CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, value: STRING, before: STRING, after: STRING>>)"
     )
 
-    def step(state: Column, i: Column, value: Column, gap: Column) -> Column:
-        own, before = F.get(value, i), F.get(gap, i)
-        start = state["at"] + F.length(before)
-        end = start + F.length(own)
-        found = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            own.alias("value"),
-            F.right(before, F.lit(24)).alias("before"),
-            F.left(F.get(gap, i + 1), F.lit(24)).alias("after"),
-        )
-        return F.struct(end.alias("at"), F.array_append(state["found"], found).alias("found"))
+    def found(value: Column, gap: Column, at: Column) -> Column:
+        def one(own: Column, i: Column) -> Column:
+            end = F.get(at, i + 1)
+            return F.struct(
+                (end - F.length(own)).alias("start"),
+                end.alias("end"),
+                own.alias("value"),
+                F.right(F.get(gap, i), F.lit(24)).alias("before"),
+                F.left(F.get(gap, i + 1), F.lit(24)).alias("after"),
+            )
+
+        return F.transform(value, one)
 
     def walk(value: Column, gap: Column) -> Column:
-        walked = F.aggregate(
-            F.sequence(F.lit(0), F.size(value) - 1),
-            F.struct(F.lit(0).alias("at"), empty.alias("found")),
-            lambda state, i: step(state, i, value, gap),
-            lambda s: s["found"],
+        sizes = F.transform(value, lambda own, i: F.length(F.get(gap, i)) + F.length(own))
+        ends = states(sizes, F.lit(0), lambda at, size: at + size)
+        return F.when(F.size(value) > 0, let(ends, lambda at: found(value, gap, at))).otherwise(
+            empty
         )
-        return F.when(F.size(value) > 0, walked).otherwise(empty)
 
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gap = F.split(text, pattern, -1)
@@ -353,28 +351,51 @@ def spans(text: Column, model: Model, accept: float = ACCEPT) -> Column:
         )
     )
 
-    def apart(every: Column, base: Column) -> Column:
-        return F.filter(
+    # In order of start a base span overlaps a weak one if one before it ends behind the
+    # weak one's start, or the next one behind it starts before the weak one's end.
+    def reach(ends: Column, s: Column) -> Column:
+        return F.when(s["base"], F.greatest(ends, s["end"])).otherwise(ends)
+
+    def opened(starts: Column, s: Column) -> Column:
+        return F.when(s["base"], s["start"]).otherwise(starts)
+
+    def alone(every: Column, reached: Column, following: Column) -> Column:
+        last = F.size(every)
+        clear = F.transform(
             every,
-            lambda s: ~s["base"]
-            & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+            lambda s, i: F.when(
+                ~s["base"]
+                & (F.get(reached, i) <= s["start"])
+                & (F.get(following, last - i - 1) >= s["end"]),
+                s,
+            ),
         )
+        return F.filter(clear, lambda s: s.isNotNull())
+
+    def apart(every: Column) -> Column:
+        reached = states(every, F.lit(0), reach)
+        following = states(F.reverse(every), F.lit(2**31 - 1), opened)
+        return let(reached, lambda r: let(following, lambda f: alone(every, r, f)))
 
     # Weak spans in order: one that begins before the last kept one ends is dropped.
     def first_ones(weak: Column) -> Column:
-        return F.aggregate(
-            weak,
-            F.filter(weak, lambda s: F.lit(False)),
-            lambda kept, s: F.when(
-                s["start"] >= F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0)),
-                F.array_append(kept, s),
-            ).otherwise(kept),
+        ends = states(
+            weak, F.lit(0), lambda at, s: F.when(s["start"] >= at, s["end"]).otherwise(at)
         )
 
-    def joined(every: Column, base: Column) -> Column:
-        return F.array_sort(F.concat(base, let(apart(every, base), first_ones)))
+        def kept(at: Column) -> Column:
+            marked = F.transform(weak, lambda s, i: F.when(s["start"] >= F.get(at, i), s))
+            return F.filter(marked, lambda s: s.isNotNull())
 
-    return let(every, lambda e: let(F.filter(e, lambda s: s["base"]), lambda b: joined(e, b)))
+        return let(ends, kept)
+
+    def joined(every: Column) -> Column:
+        base = F.filter(every, lambda s: s["base"])
+        weak = let(apart(every), first_ones)
+        some = F.exists(every, lambda s: ~s["base"])
+        return F.when(some, F.array_sort(F.concat(base, weak))).otherwise(every)
+
+    return let(every, joined)
 
 
 def written(found: Column) -> Column:
@@ -390,23 +411,19 @@ def redacted(text: Column, found: Column) -> Column:
     Spans that overlap are replaced together, by the kind of the first.
     """
 
-    def step(state: Column, s: Column) -> Column:
-        size = s["start"] - state["at"]
-        between = F.substring(text, state["at"] + 1, F.greatest(size, F.lit(0)))
-        mark = F.when(size >= 0, F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise("")
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.array_append(state["parts"], F.concat(between, mark)).alias("parts"),
-        )
+    def parts(found: Column, at: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            begin = F.get(at, i)
+            size = s["start"] - begin
+            between = F.substring(text, begin + 1, F.greatest(size, F.lit(0)))
+            mark = F.when(size >= 0, F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise("")
+            return F.concat(between, mark)
+
+        rest = F.substring(text, F.get(at, F.size(found)) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(found, one), ""), rest)
 
     def walk(found: Column) -> Column:
-        return F.aggregate(
-            found,
-            F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS ARRAY<STRING>)").alias("parts")),
-            step,
-            lambda s: F.concat(
-                F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))
-            ),
-        )
+        ends = states(found, F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+        return let(ends, lambda at: parts(found, at))
 
     return let(found, lambda f: F.when(F.size(f) > 0, walk(f)).otherwise(text))

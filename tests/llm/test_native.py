@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import decontamination, pii, queries
+from plumbline.llm.binding import states
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id LONG, text STRING, item_id LONG, hash INT, found STRING"
@@ -219,6 +220,47 @@ def test_redaction(spark, odd):
         assert r.r == "".join(parts) + r.text[at:]
 
 
+@pytest.mark.parametrize("n", [0, 1, 15, 16, 17, 256, 1000])
+def test_states_of_a_walk(spark, n):
+    items = [(i * 37) % 11 - 3 for i in range(n)]
+    row = spark.createDataFrame([(items,)], "x ARRAY<INT>")
+    got = row.select(states(F.col("x"), F.lit(5), lambda s, x: F.greatest(s + x, F.lit(0)))).first()[0]
+    expected = [5]
+    for x in items:
+        expected.append(max(expected[-1] + x, 0))
+    assert got == expected
+
+
+def test_weak_spans_by_brute_force(spark):
+    r = random.Random(5)
+    bits = ["a@b.cd", "x" * 19 + "@y.zz", "4111 1111 1111 1112", "4111111111111111", "+1 202 555 0100",
+            "t0" * 12, "me (at) home [dot] com", "sk-" + "Ab1" * 9, "ann@" + "q" * 25 + ".org", "word", "10.0.0.1"]
+    texts = ["".join(r.choice(bits) + r.choice(["", " ", " ", "."]) for _ in range(r.randint(0, 60))) for _ in range(150)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text STRING").select(
+        pii.candidates(F.col("text")).alias("c"),
+        pii.spans(F.col("text"), pii.Model(), accept=0.0).alias("s"),
+    )
+    n_weak = 0
+    for every, told in rows.collect():
+        order = sorted({(c.start, pii.KINDS.index(c.kind), c.end, c.base) for c in every})
+        kept, end = [x for x in order if x[3]], 0
+        for x in [x for x in order if not x[3]]:
+            if any(b[0] < x[2] and x[0] < b[2] for b in order if b[3]) or x[0] < end:
+                continue
+            kept, end, n_weak = [*kept, x], x[2], n_weak + 1
+        assert [(s.start, s.rank, s.end, s.base) for s in told] == sorted(kept)
+    assert n_weak > 100
+
+
+def test_many_matches_in_one_text(spark):
+    n = 3_000
+    text = " ".join(f"u{i}@b.cd" for i in range(n)) + " " + " ".join(f"{i:08d}" + "aB" * 8 for i in range(n))
+    row = spark.createDataFrame([(text,)], "text STRING")
+    found = pii.spans(F.col("text"), pii.Model(), accept=0.0)
+    spans = row.select(found).first()[0]
+    assert len(spans) == 2 * n and all(text[s.start : s.end].find(" ") < 0 for s in spans)
+
+
 def test_pii_query(spark):
     got = queries.op6_pii(spark, SF_DIR)
     docs = dict(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect())
