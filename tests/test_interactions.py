@@ -61,6 +61,20 @@ def test_draws_do_not_depend_on_the_blocks(spark):
         assert rows(negative_samples(df, k=5, blocks=blocks)) == usual
 
 
+def test_draws_do_not_depend_on_the_chunks(spark):
+    df = some_ratings(spark)
+    usual = rows(negative_samples(df, k=5))
+    for chunk in (1, 3, 11):
+        assert rows(negative_samples(df, k=5, chunk=chunk)) == usual
+
+
+def test_draws_are_not_sorted_again(spark):
+    """Rows of users are stored and sorted before the draws, five times as many, never after."""
+    plan = negative_samples(some_ratings(spark), k=5)._jdf.queryExecution().executedPlan().toString()
+    drawn = plan.index("Generate")
+    assert "Sort" not in plan[:drawn] and "rangepartitioning" not in plan[:drawn]
+
+
 def test_a_hot_user_is_spread_over_blocks(spark):
     """One user has four fifths of the rows and owns a long run of neighbouring items."""
     df = spark.range(6000).selectExpr(
