@@ -120,3 +120,21 @@ def test_candidates_and_recommendations(spark):
     scored = pairs.selectExpr("*", "CASE WHEN movie_id = 11 THEN 0.9D ELSE 0.1D END AS pred")
     top = recommend.top_recommendations(scored, 1, ordered=True)
     assert [tuple(r) for r in top.collect()] == [(1, 11, 0.9, 1), (2, 11, 0.9, 1)]
+
+
+def test_query_metrics_join_without_another_shuffle(spark):
+    """The joined tables stay where their aggregates left them; NULL is a query too."""
+    df = spark.createDataFrame(
+        [(1, 1, 1, 0.5), (1, 2, 0, 0.4), (None, 1, 1, 0.3), (None, 2, 0, 0.9)],
+        "qid LONG, movie_id LONG, label INT, pred DOUBLE",
+    )
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = ranking.query_metrics(df, [1])
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        got = {r["qid"]: (r["ndcg_1"], r["recall_1"]) for r in table.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert "hashpartitioning(coalesce(" not in plan and "SortMergeJoin" in plan
+    assert got == {1: (1.0, 1.0), None: (0.0, 0.0)}
