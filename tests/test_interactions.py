@@ -75,6 +75,13 @@ def test_draws_are_not_sorted_again(spark):
     assert "Sort" not in plan[:drawn] and "rangepartitioning" not in plan[:drawn]
 
 
+def test_draws_are_compiled_columns(spark):
+    """A lambda over an array would be interpreted step by step for every draw."""
+    for chunk in (1024, 3):
+        made = negative_samples(some_ratings(spark), k=5, chunk=chunk)
+        assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_hot_user_is_spread_over_blocks(spark):
     """One user has four fifths of the rows and owns a long run of neighbouring items."""
     df = spark.range(6000).selectExpr(
