@@ -138,3 +138,20 @@ def test_query_metrics_join_without_another_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
     assert "hashpartitioning(coalesce(" not in plan and "SortMergeJoin" in plan
     assert got == {1: (1.0, 1.0), None: (0.0, 0.0)}
+
+
+def test_a_single_metric_makes_only_its_own_tables(spark):
+    """Hits alone need no counts of all rows and no ideal lists, so nothing is joined."""
+    df = spark.createDataFrame(
+        [(1, 1, 1, 0.5), (1, 2, 0, 0.4), (2, 1, 1, 0.3), (2, 2, 0, 0.9), (None, 1, 0, 0.1)],
+        "qid LONG, movie_id LONG, label INT, pred DOUBLE",
+    )
+    for metric, made, joins in (
+        ("map", ranking.map_at(df, 1), 0),
+        ("precision", ranking.precision_at(df, 1), 0),
+        ("recall", ranking.recall_at(df, 1), 1),
+        ("ndcg", ranking.ndcg_at(df, 1), 1),
+    ):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == joins
+        assert made.first()[0] == ranking.metric_table(df, [1]).first()[metric]
