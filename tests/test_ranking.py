@@ -155,3 +155,34 @@ def test_a_single_metric_makes_only_its_own_tables(spark):
         plan = made._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Join ") == joins
         assert made.first()[0] == ranking.metric_table(df, [1]).first()[metric]
+
+
+def _some_rows(spark):
+    """Queries of one to nine rows, NULL among them, with ties and graded labels."""
+    return spark.range(200).selectExpr(
+        "nullif(CAST(floor(sqrt(id * 3)) AS INT), 5) AS qid",
+        "id AS movie_id",
+        "CAST(CASE WHEN id % 11 = 0 THEN NULL WHEN id % 7 = 0 THEN 2 ELSE id % 2 END AS INT) AS label",
+        "(id * 37 % 5) / 5.0D AS pred",
+    )
+
+
+def test_large_queries_go_another_way_to_the_same_metrics(spark, monkeypatch):
+    df = _some_rows(spark)
+    usual = ranking.query_metrics(df, [1, 3, 5]).orderBy("qid").collect()
+    monkeypatch.setattr(ranking, "ONE_IN", 1)
+    for least, some in ((9, True), (1, True), (1000, False)):
+        monkeypatch.setattr(ranking, "LARGE", least)
+        assert (ranking.large_queries(df, "qid") is not None) == some
+        got = ranking.query_metrics(df, [1, 3, 5]).orderBy("qid").collect()
+        assert [r["qid"] for r in got] == [r["qid"] for r in usual]
+        for one, other in zip(got, usual, strict=True):
+            assert list(one)[1:] == pytest.approx(list(other)[1:])
+
+
+def test_rows_of_a_query_are_shuffled_once(spark):
+    """All metrics of k take the rows and their labels through one shuffle each."""
+    table = ranking.query_metrics(_some_rows(spark), [1, 3])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "WindowGroupLimit" not in plan
