@@ -72,3 +72,13 @@ def test_dense_ids_follow_text_order_and_invert(spark):
     assert rows(back) == [(1, "10"), (2, "100"), (3, "9"), (3, "9")]
     unknown = encode_ids(spark.createDataFrame([(5,)], "user_id LONG"), "user_id", ids)
     assert rows(unknown) == [(None, "5")]
+
+
+def test_both_numbers_come_from_one_sort_of_the_rows(spark):
+    data = [(n % 3, n * 7 % 50) for n in range(50)]
+    df = spark.createDataFrame(data, "user LONG, ts LONG")
+    made = row_numbers(df, [-F.col("ts"), F.col("ts")], ["user"], "within", "overall", blocks=4)
+    assert sorted(r["overall"] for r in made.collect()) == list(range(50))
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    sorts = [line for line in plan.splitlines() if " Sort [" in line and "user#" in line.split("]")[0]]
+    assert len(sorts) == 1
