@@ -5,6 +5,7 @@ import math
 import pytest
 from conftest import rows
 
+from plumbline.functions import frames
 from plumbline.operators import ranking, recommend
 
 SCHEMA = "qid LONG, movie_id LONG, label INT, pred DOUBLE"
@@ -186,3 +187,21 @@ def test_rows_of_a_query_are_shuffled_once(spark):
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "WindowGroupLimit" not in plan
+
+
+def test_tasks_of_the_metrics_grow_with_the_rows(spark, monkeypatch):
+    data = [(q, i, int(i == q % 6), float(i * q % 7)) for q in range(100) for i in range(6)]
+    wanted = {k: r.asDict() for k, r in metrics(spark, data).items()}
+    dealt_to = []
+
+    def watched(df, size, *columns, always=False):
+        made = frames.dealt(df, size, *columns, always=always)
+        dealt_to.append(made.rdd.getNumPartitions())
+        return made
+
+    monkeypatch.setattr(ranking, "ONE_IN", 1)
+    monkeypatch.setattr(frames, "TASK_ROWS", 20)
+    monkeypatch.setattr(ranking, "dealt", watched)
+    got = {k: r.asDict() for k, r in metrics(spark, data).items()}
+    assert dealt_to == [30, 30]
+    assert got == {k: pytest.approx(v) for k, v in wanted.items()}
