@@ -20,6 +20,7 @@ from plumbline.models.ranker import (
 )
 from plumbline.models.search import evaluate_trial
 from plumbline.plans import data_jobs, model_jobs, profiles
+from plumbline.queries import models
 from plumbline.settings import ModelSettings, ProcessingSettings, merged, to_json
 from plumbline.sources import datasets, state, trials
 
@@ -283,3 +284,21 @@ def test_encoders_are_saved_with_a_pipeline(spark, tmp_path):
     back = PipelineModel.load(str(tmp_path / "m"))
     assert [s.uid for s in back.stages] == [s.uid for s in fitted.stages]
     assert rows(back.transform(df)) == rows(fitted.transform(df)) == rows(pipeline.fit(df).transform(df))
+
+
+def test_trial_search_does_the_whole_search(monkeypatch):
+    seen = []
+
+    def searched(train, val, settings, **given):
+        seen.append((settings, given))
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "_encoded", lambda *_, **__: ({"train": 1, "val": 2}, None, None))
+    monkeypatch.setattr(models, "search", searched)
+    with pytest.raises(InterruptedError):
+        models.trial_search(None, "")
+    settings, given = seen[0]
+    usual = ModelSettings()
+    assert settings.n_trials == usual.n_trials and settings.time_budget_s is None
+    assert settings.iterations == usual.iterations
+    assert set(given) == {"run"}, "the search space is the library's own"
