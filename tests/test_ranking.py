@@ -4,6 +4,7 @@ import math
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from plumbline.functions import frames
 from plumbline.operators import ranking, recommend
@@ -205,3 +206,28 @@ def test_tasks_of_the_metrics_grow_with_the_rows(spark, monkeypatch):
     got = {k: r.asDict() for k, r in metrics(spark, data).items()}
     assert dealt_to == [30, 30]
     assert got == {k: pytest.approx(v) for k, v in wanted.items()}
+
+
+def test_versions_of_predictions_have_the_metrics_of_each(spark, monkeypatch):
+    df = _some_rows(spark)
+    preds = ["pred", "pred * pred - pred", "0.5D"]
+    versions = df.withColumn("preds", F.expr(f"array({', '.join(preds)})"))
+
+    def by_version():
+        made = ranking.query_metrics(versions, [1, 3], pred="preds", versions=3)
+        return sorted((tuple(r) for r in made.collect()), key=str)
+
+    one_by_one = [
+        ranking.query_metrics(df.withColumn("pred", F.expr(pred)), [1, 3]).withColumn("version", F.lit(n))
+        for n, pred in enumerate(preds)
+    ]
+    columns = ranking.query_metrics(versions, [1, 3], pred="preds", versions=3).columns
+    wanted = rows(one_by_one[0].union(one_by_one[1]).union(one_by_one[2]), *columns)
+    assert [pytest.approx(r) for r in wanted] == by_version()
+    plan = ranking.query_metrics(versions, [1, 3], pred="preds", versions=3)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    monkeypatch.setattr(ranking, "ONE_IN", 1)
+    for least in (1, 9):
+        monkeypatch.setattr(ranking, "LARGE", least)
+        assert [pytest.approx(r) for r in wanted] == by_version()
