@@ -302,3 +302,13 @@ def test_trial_search_does_the_whole_search(monkeypatch):
     assert settings.n_trials == usual.n_trials and settings.time_budget_s is None
     assert settings.iterations == usual.iterations
     assert set(given) == {"run"}, "the search space is the library's own"
+
+
+def test_fitted_rows_are_stored_without_their_keys(spark):
+    parts, _, _ = models._encoded(spark, SF_DIR)
+    assert parts["train"].columns == ["label", *models.CATEGORIES, *models.NUMBERS]
+    keyed, _, _ = models._encoded(spark, SF_DIR, ["qid", "item_id"])
+    assert keyed["train"].where("qid is not null or item_id is not null").isEmpty()
+    for name in ("val", "test"):
+        assert keyed[name].where("qid is null or item_id is null").isEmpty()
+        assert rows(keyed[name].drop("qid", "item_id")) == rows(parts[name])

@@ -82,3 +82,14 @@ def test_both_numbers_come_from_one_sort_of_the_rows(spark):
     plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     sorts = [line for line in plan.splitlines() if " Sort [" in line and "user#" in line.split("]")[0]]
     assert len(sorts) == 1
+
+
+def test_only_kept_columns_are_moved_again(spark):
+    df = skewed(spark, 600).withColumn("wide", F.repeat(F.lit("w"), 50))
+    order = [-F.col("ts"), F.col("key"), F.col("wide")]
+    whole = row_numbers(df, order, ["user"], "rn", "pos", blocks=5)
+    kept = row_numbers(df, order, ["user"], "rn", "pos", blocks=5, keep=["user", "ts"])
+    assert kept.columns == ["user", "ts", "rn", "pos"]
+    assert rows(kept) == rows(whole, *kept.columns)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "wide" not in plan and "key" not in plan
